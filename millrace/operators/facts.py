@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates
 from millrace.operators.history import UNKNOWN_SK, scd2, surrogate_key
 from millrace.operators.lookups import version_lookup
-from millrace.operators.skew import MAX_GROUP_ROWS, OrderedGroups, salted_join
+from millrace.operators.skew import MAX_GROUP_ROWS, OrderedGroups, hot_keys, salted_join
 
 
 def junk_dimension(facts: DataFrame, columns: Sequence[str], sk: str) -> DataFrame:
@@ -99,5 +99,6 @@ def backed_changes(history: DataFrame, keys: Sequence[str], order: Sequence[str]
     groups = OrderedGroups(history, keys, order, max_rows).previous("_before", status)
     changed = (groups.result().withColumn("previous_status", F.col(f"_before.{status}")).drop("_before")
                .filter(F.col("previous_status").isNotNull() & ~F.col(status).eqNullSafe(F.col("previous_status"))))
-    return (salted_join(changed, checks.select(*check_keys, result), list(check_keys), "left", max_rows=max_rows)
+    hot = hot_keys(history, list(check_keys), max_rows)
+    return (salted_join(changed, checks.select(*check_keys, result), list(check_keys), "left", hot=hot, max_rows=max_rows)
             .withColumn("backed", F.coalesce(F.col(result).isNotNull() & expected, F.lit(False))))

@@ -37,29 +37,27 @@ def key_changes(changes: DataFrame, old: str, new: str, order: str) -> DataFrame
 def key_map(edges: DataFrame, old: str = "old_key", new: str = "new_key", max_hops: int = 1 << 20) -> DataFrame:
     """(key, latest_key, durable_key) for every id that takes part in a key change.
 
-    Pointer doubling: each round joins the map with itself and doubles the distance covered, so a chain of
-    n changes needs log2(n) joins. Every round is written to the shared folder.
+    Pointer doubling: each round joins the links with themselves and doubles the distance covered, so a chain
+    of n changes needs log2(n) joins. Links to the latest and to the first id move in the same rounds, and
+    every round is written to the shared folder.
     """
-    def closure(start: DataFrame) -> DataFrame:
-        links = materialize(start)
-        covered = 1
-        while True:
-            step = links.select(F.col("id").alias("at"), F.col("to").alias("next"))
-            joined = salted_join(links.withColumn("at", F.col("to")), step, ["at"], "left")
-            if joined.filter(F.col("next").isNotNull()).isEmpty():
-                return links
-            if covered > max_hops:
-                raise KeyCycleError(f"key changes longer than {max_hops} or circular")
-            links = materialize(joined.select("id", F.coalesce("next", "to").alias("to")))
-            covered *= 2
-            if not links.filter(F.col("id") == F.col("to")).isEmpty():
-                raise KeyCycleError("a key change leads back to its own start")
-
-    forward = closure(edges.select(F.col(old).alias("id"), F.col(new).alias("to")).distinct())
-    backward = closure(edges.groupBy(F.col(new).alias("id")).agg(F.min(old).alias("to")))
-    latest = forward.select(F.col("id").alias("key"), F.col("to").alias("latest_key"))
-    first = backward.select(F.col("id").alias("key"), F.col("to").alias("durable_key"))
-    return (latest.join(first, "key", "full_outer")
+    ahead = edges.select(F.lit("latest").alias("way"), F.col(old).alias("id"), F.col(new).alias("to")).distinct()
+    back = (edges.groupBy(F.col(new).alias("id")).agg(F.min(old).alias("to"))
+            .select(F.lit("first").alias("way"), "id", "to"))
+    links, covered = materialize(ahead.unionByName(back)), 1
+    while True:
+        step = links.select("way", F.col("id").alias("at"), F.col("to").alias("next"))
+        joined = materialize(
+            salted_join(links.withColumn("at", F.col("to")), step, ["way", "at"], "left")
+            .select("way", "id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")))
+        state = joined.agg(F.bool_or("moved").alias("moved"), F.bool_or(F.col("id") == F.col("to")).alias("closed")).first()
+        if state["closed"] or covered > max_hops:
+            raise KeyCycleError("a key change leads back to its own start")
+        links, covered = joined.drop("moved"), covered * 2
+        if not state["moved"]:
+            break
+    side = lambda way, out: links.filter(F.col("way") == way).select(F.col("id").alias("key"), F.col("to").alias(out))
+    return (side("latest", "latest_key").join(side("first", "durable_key"), "key", "full_outer")
             .select("key", F.coalesce("latest_key", "key").alias("latest_key"),
                     F.coalesce("durable_key", "key").alias("durable_key")))
 

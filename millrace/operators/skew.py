@@ -53,7 +53,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
 
     Rows of a hot key spread over rows/max_rows salts chosen by a hash of `spread_by` (default: the whole
     row, so a retried task picks the same salt), and only the matching right rows are copied per salt.
-    Pass `hot` from the table the left side derives from, so that the profile reads one column of one scan.
+    Without `hot` the left side is read twice, which suits a stored table. Where it is the result of other
+    joins, pass `hot` from the table it derives from: the profile then reads one column of one scan.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"the left side must be the preserved side, not {how}")

@@ -11,11 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.reconcile import enforce_gate, reconcile
+from millrace.operators import reconcile as checks
 from millrace.registry import FEEDS, Feed
-from millrace.sources import manifests, tables
+from millrace.sources import files, manifests, tables
 from millrace.sources.files import exists
-from millrace.streaming.bronze import ingest, read_bronze
+from millrace.streaming.bronze import batch_date, ingest, read_bronze
 
 
 @dataclass
@@ -27,15 +27,17 @@ class RunReport:
 
 
 def ingest_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed] = FEEDS,
-                 run_id: str | None = None, parallel: int = 4, **options) -> RunReport:
+                 run_id: str | None = None, parallel: int = 4, landing_root: str | None = None,
+                 **options) -> RunReport:
     """All new files of every feed that has delivered anything. Feeds are independent streams and overlap."""
     report = RunReport(run_id or str(uuid.uuid4()))
-    present = [f for f in feeds if exists(spark, f"{lake.landing}/{f.landing_subpath}")]
+    source = landing_root or lake.landing
+    present = [f for f in feeds if exists(spark, f"{source}/{f.landing_subpath}")]
     report.skipped = [f.entity for f in feeds if f not in present]
 
     def one(feed: Feed) -> None:
         started = time.monotonic()
-        ingest(spark, lake, feed, report.run_id, **options)
+        ingest(spark, lake, feed, report.run_id, landing_root=source, **options)
         report.seconds[feed.entity] = round(time.monotonic() - started, 3)
 
     with ThreadPoolExecutor(max(1, parallel)) as pool:
@@ -44,12 +46,44 @@ def ingest_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed] =
     return report
 
 
-def reconcile_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed], run_id: str) -> DataFrame:
+def _listing(spark: SparkSession, root: str, feed: Feed) -> tuple[DataFrame, DataFrame]:
+    read = manifests.read_manifests(spark, root, feed)
+    return read, manifests.manifest_listing(read)
+
+
+def reconcile_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed], run_id: str,
+                    landing_root: str | None = None) -> DataFrame:
     """Union by name of every feed's reconciliation; Bronze is read for its lineage columns only."""
-    def one(feed: Feed) -> DataFrame:
-        listing = manifests.manifest_listing(manifests.read_manifests(spark, lake.landing, feed))
-        return reconcile(read_bronze(spark, lake, feed), listing, feed.entity, run_id)
-    return reduce(lambda a, b: a.unionByName(b), [one(f) for f in feeds])
+    results = [checks.reconcile(read_bronze(spark, lake, feed),
+                                _listing(spark, landing_root or lake.landing, feed)[1], feed.entity, run_id)
+               for feed in feeds]
+    return reduce(DataFrame.unionByName, results)
+
+
+def verify_feed(spark: SparkSession, lake: tables.Lake, feed: Feed, landing_root: str | None = None) -> DataFrame:
+    """One verdict per batch from its files' counts and checksums and its rows' control totals.
+
+    Rows are counted in Bronze; the landing files are read once, for their digests.
+    """
+    read, listed = _listing(spark, landing_root or lake.landing, feed)
+    paths = listed.filter(F.col("file_name").isNotNull()).select(F.concat_ws("/", "folder", "file_name").alias("path"))
+    shas = files.digests(paths).filter(F.col("sha256").isNotNull()).select(
+        batch_date("path").alias("business_date"), files.file_name("path").alias("file_name"), "sha256")
+    amounts = [c for c in (feed.amount, feed.currency) if c]
+    rows = read_bronze(spark, lake, feed).select(
+        F.col("_batch_date").alias("business_date"), files.file_name("_source_file").alias("file_name"), *amounts)
+    counts = rows.groupBy("business_date", "file_name").agg(F.count(F.lit(1)).alias("records"))
+    # A file without lines has no rows to count, yet it was delivered.
+    delivered = (shas.distinct().join(counts, ["business_date", "file_name"], "left")
+                 .withColumn("records", F.coalesce("records", F.lit(0))))
+    totals = None
+    if feed.amount:
+        effective = manifests.effective_rows(rows, listed, ["business_date", "file_name"])
+        totals = checks.verify_totals(
+            checks.manifest_totals(read),
+            checks.control_totals(effective, ["business_date"], feed.amount, feed.currency),
+            ["business_date", "currency"])
+    return checks.verify_batches(listed, delivered, ["business_date"], totals)
 
 
 def stored_results(spark: SparkSession, lake: tables.Lake, run_id: str | None = None) -> DataFrame:
@@ -58,13 +92,13 @@ def stored_results(spark: SparkSession, lake: tables.Lake, run_id: str | None =
 
 
 def run(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed] = FEEDS, run_id: str | None = None,
-        gate: bool = True, **options) -> RunReport:
+        gate: bool = True, landing_root: str | None = None, **options) -> RunReport:
     """Ingest, then judge the stored numbers: results are computed once, written, and read back."""
-    report = ingest_feeds(spark, lake, feeds, run_id, **options)
+    report = ingest_feeds(spark, lake, feeds, run_id, landing_root=landing_root, **options)
     delivered = [f for f in feeds if f.entity in report.ingested]
     if delivered:
-        tables.append_run(reconcile_feeds(spark, lake, delivered, report.run_id),
+        tables.append_run(reconcile_feeds(spark, lake, delivered, report.run_id, landing_root),
                           lake.path("ops", "bronze_reconciliation"))
         if gate:
-            enforce_gate(stored_results(spark, lake, report.run_id))
+            checks.enforce_gate(stored_results(spark, lake, report.run_id))
     return report

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, money
 from millrace.operators import calendar as cal
 from millrace.operators import facts, history, lookups, marts
+from millrace.operators.skew import hot_keys, salted_join
 from millrace.plans.silver import read_silver
 from millrace.registry import BY_ENTITY
 from millrace.sources import tables
@@ -31,8 +32,10 @@ class Silver:
         return history.key_map(edges)
 
 
-def with_durable_customer(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    return history.resolve_keys(df, mapping, "customer_id", "customer_dk")
+def with_durable_customer(df: DataFrame, mapping: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """`base`: the stored table a derived `df` comes from, to look for hot customers in."""
+    hot = hot_keys(base, ["customer_id"]) if base is not None else None
+    return history.resolve_keys(df, mapping, "customer_id", "customer_dk", hot=hot)
 
 
 # -- dimensions ------------------------------------------------------------------------------------------
@@ -115,11 +118,12 @@ def fact_transaction(silver: Silver, mapping: DataFrame, customers: DataFrame, a
 
 
 def fact_bill_payment(silver: Silver, mapping: DataFrame, customers: DataFrame, billers: DataFrame) -> DataFrame:
-    bills = (with_durable_customer(silver("transactions").filter(F.col("transaction_type") == "bill_payment"), mapping)
+    stored = silver("transactions").filter(F.col("transaction_type") == "bill_payment")
+    bills = (with_durable_customer(stored, mapping)
              .withColumn("business_date", dates.local_date("event_ts")))
     bills = facts.bill_payments(bills, "business_date", "due_date")
     bills = facts.dimension_keys(bills, [(customers, "customer_dk", "customer_sk")], "event_ts")
-    return facts.current_key(bills, billers, "biller_id", "biller_sk").select(
+    return facts.current_key(bills, billers, "biller_id", "biller_sk", hot=hot_keys(stored, ["biller_id"])).select(
         "transaction_id", "date_key", "due_date_key", "customer_sk", "biller_sk", "amount", "days_late",
         "customer_dk", "business_date")
 
@@ -150,7 +154,7 @@ def fact_support_case(silver: Silver, mapping: DataFrame, customers: DataFrame)
         changes, ["case_id"], CHANGE_ORDER,
         {"opened_at": F.col("opened_ts"), "first_response_at": F.col("first_response_ts"), "resolved_at": F.col("resolved_ts")},
         ["customer_id", "channel", "reason", "status", "change_ts"])
-    cases = facts.dimension_keys(with_durable_customer(cases, mapping), [(customers, "customer_dk", "customer_sk")], "change_ts")
+    cases = facts.dimension_keys(with_durable_customer(cases, mapping, changes), [(customers, "customer_dk", "customer_sk")], "change_ts")
     key = lambda c: dates.date_key(dates.local_date(c))
     return cases.select(
         "case_id", "customer_sk", key("opened_at").alias("opened_date_key"),
@@ -174,7 +178,7 @@ def fact_credit_score_snapshot(silver: Silver, mapping: DataFrame, customers: Da
 def mart_spend_monthly(transactions: DataFrame, merchants: DataFrame) -> DataFrame:
     """Spend comes from the transaction fact only and leaves bill payments out."""
     category = merchants.select("merchant_sk", "category")
-    rows = facts.salted_join(transactions, category, ["merchant_sk"], "left")
+    rows = salted_join(transactions, category, ["merchant_sk"], "left")
     rows = rows.filter(F.col("transaction_type").isin("purchase", "refund"))
     return marts.spend_monthly(
         rows.withColumn("month", dates.month_text("business_date")), ["customer_dk", "month", "category", "payment_method"],
@@ -183,7 +187,7 @@ def mart_spend_monthly(transactions: DataFrame, merchants: DataFrame) -> DataFra
 
 
 def mart_bill_behaviour(bills: DataFrame, billers: DataFrame) -> DataFrame:
-    rows = facts.salted_join(bills, billers.select("biller_sk", "bill_type"), ["biller_sk"], "left")
+    rows = salted_join(bills, billers.select("biller_sk", "bill_type"), ["biller_sk"], "left")
     return marts.bill_behaviour(rows.withColumn("month", dates.month_text("business_date")),
                                 ["customer_dk", "bill_type", "month"], "days_late")
 
@@ -201,7 +205,7 @@ def mart_credit_features(scores: DataFrame, bills: DataFrame, transactions: Data
 
 def mart_invest_features(holdings: DataFrame, products: DataFrame) -> DataFrame:
     """Month-end value per customer, asset class and month, with share and change on the month before."""
-    rows = facts.salted_join(holdings, products.select("product_sk", "asset_class", "risk_level"), ["product_sk"], "left")
+    rows = salted_join(holdings, products.select("product_sk", "asset_class", "risk_level"), ["product_sk"], "left")
     # The month end is the last business day anyone was reported on, so a closed position counts as gone.
     last = rows.groupBy(marts.month_index("business_date").alias("month_index")).agg(F.max("business_date").alias("business_date"))
     ends = rows.join(F.broadcast(last), "business_date")

@@ -11,8 +11,8 @@ from millrace.operators import clean, reconcile
 from millrace.plans import bronze_run
 from millrace.plans.catalog import day, decimal, query, table
 from millrace.plans.landing_feed import EVENTS, ORDERS, landing, new_lake
-from millrace.sources import files, manifests, tables
-from millrace.streaming.bronze import batch_date, ingest, read_bronze
+from millrace.sources import manifests, tables
+from millrace.streaming.bronze import ingest, read_bronze
 
 # How often a line of a day is in Bronze, and how often in the files its manifest lists.
 DELIVERED_SQL = """
@@ -156,22 +156,8 @@ SELECT d AS batch_date, CAST(announced AS BIGINT) AS record_count, CAST(listed A
 FROM days""")
 def batch_verify_files(spark, sf_dir):
     """Counts and checksums of the files themselves, control totals of their parsed rows."""
-    root = landing(spark, sf_dir)
-    read = manifests.read_manifests(spark, root, EVENTS)
-    listed = manifests.manifest_listing(read)
-    paths = listed.select(F.concat_ws("/", "folder", "file_name").alias("path"))
-    shas = files.digests(paths).select(
-        batch_date("path").alias("business_date"), files.file_name("path").alias("file_name"), "sha256")
-    rows = bronze(spark, sf_dir).select(
-        F.col("_batch_date").alias("business_date"), files.file_name("_source_file").alias("file_name"),
-        "event_type", "amount")
-    counts = rows.groupBy("business_date", "file_name").agg(F.count(F.lit(1)).alias("records"))
-    delivered = counts.join(shas, ["business_date", "file_name"])
-    effective = manifests.effective_rows(rows, listed, ["business_date", "file_name"])
-    totals = reconcile.verify_totals(
-        reconcile.manifest_totals(read), reconcile.control_totals(effective, ["business_date"], "amount", "event_type"),
-        ["business_date", "currency"])
-    return reconcile.verify_batches(listed, delivered, ["business_date"], totals).select(
+    lake = _ingested(spark.sparkContext.applicationId, sf_dir, "add")
+    return bronze_run.verify_feed(spark, lake, EVENTS, landing(spark, sf_dir)).select(
         F.col("business_date").alias("batch_date"), "record_count", "delivered_records", "reason", "accepted")
 
 
@@ -197,17 +183,8 @@ both_feeds AS (
 SELECT * FROM both_feeds""")
 def registry_run(spark, sf_dir):
     """Two registered feeds through one run; the stored results are what the gate would judge."""
-    lake = tables.Lake(new_lake(spark, "lake").root)
-    source = landing(spark, sf_dir)
-    report = bronze_run.ingest_feeds(spark, lake, [], "run-9")
-    for feed in (EVENTS, ORDERS):
-        ingest(spark, lake, feed, report.run_id, landing_root=source)
-    results = None
-    for feed in (EVENTS, ORDERS):
-        listed = manifests.manifest_listing(manifests.read_manifests(spark, source, feed))
-        one = reconcile.reconcile(read_bronze(spark, lake, feed), listed, feed.entity, report.run_id)
-        results = one if results is None else results.unionByName(one)
-    tables.append_run(results, lake.path("ops", "bronze_reconciliation"))
+    lake = new_lake(spark, "lake")
+    report = bronze_run.run(spark, lake, [EVENTS, ORDERS], "run-9", gate=False, landing_root=landing(spark, sf_dir))
     return bronze_run.stored_results(spark, lake, report.run_id).select(
         "entity", "batch_date", "manifest_records", "bronze_records", "unlisted_records", "status")
 

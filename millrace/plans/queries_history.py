@@ -13,6 +13,11 @@ from millrace.plans.landing_feed import new_lake
 from millrace.sources import tables
 
 
+def order_number_of(ntz: str):
+    """Microseconds since 1970 of a TIMESTAMP_NTZ."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ntz))
+
+
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as change records of their user: signup inserts, error deletes, the rest updates."""
     op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
@@ -225,19 +230,16 @@ def inferred_member(spark, sf_dir):
 WITH s AS (SELECT * FROM events WHERE event_type <> 'purchase'),
 c AS (SELECT user_id, event_id, ts, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM s),
 v AS (SELECT user_id, ts, event_type FROM c WHERE before IS NULL OR before <> event_type)
-SELECT p.event_id, p.user_id, coalesce(v.event_type, 'unknown') AS status, coalesce(CAST(epoch_us(v.ts) AS BIGINT), -1) AS version_sk
+SELECT p.event_id, p.user_id, coalesce(CAST(epoch_us(v.ts) AS BIGINT), -1) AS version_sk
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON v.user_id = p.user_id AND v.ts <= p.ts""")
 def pit_lookup(spark, sf_dir):
     """Purchases against the state their user was in, through the as-of path of the lookup."""
     changes = user_changes(spark, sf_dir)
     versions = (history.scd2(changes.filter(F.col("event_type") != "purchase"), ["user_id"], ["event_id"], "ts", ["event_type"])
-                .withColumn("sk", F.unix_micros(F.col("valid_from").cast("timestamp")))
-                .withColumnRenamed("event_type", "status"))
+                .withColumn("sk", order_number_of("valid_from")))
     purchases = changes.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    found = lookups.version_lookup(purchases, versions, ["user_id"], "ts", "sk", "version_sk", broadcast_rows=0)
-    named = versions.select("user_id", F.col("sk").alias("version_sk"), "status")
-    return (salted_join(found, named, ["user_id", "version_sk"], "left")
-            .select("event_id", "user_id", F.coalesce("status", F.lit("unknown")).alias("status"), "version_sk"))
+    return lookups.version_lookup(purchases, versions, ["user_id"], "ts", "sk", "version_sk", broadcast_rows=0).select(
+        "event_id", "user_id", "version_sk")
 
 
 @query("""

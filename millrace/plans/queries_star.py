@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dates
 from millrace.operators import clean, facts, history, lookups, marts
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import hot_keys, salted_join
 from millrace.plans.catalog import cents, day, decimal, query, table
 from millrace.plans.landing_feed import new_lake
 from millrace.plans.queries_history import FX_SQL
@@ -170,7 +170,8 @@ def fact_transaction(spark, sf_dir):
     dim = facts.versioned_dimension(versions, "user_id", "user_sk")
     dim = tables_roundtrip(spark, history.with_unknown_member(dim, "user_sk", ["segment"]))
     keyed = facts.dimension_keys(converted, [(dim, "user_id", "user_sk")], "ts")
-    named = salted_join(keyed, dim.select("user_sk", "segment"), ["user_sk"], "left")
+    # The stored dimension's size decides between broadcast and AQE's skew-aware sort-merge join.
+    named = keyed.join(dim.select("user_sk", "segment"), "user_sk", "left")
     return named.select("event_id", dates.date_key(dates.local_date("ts", ntz_utc=True)).alias("date_key"),
                         (F.col("user_sk") == history.UNKNOWN_SK).alias("is_unknown"), "segment", "currency", "fx_rate",
                         (F.col("amount_base") * 100).cast("decimal(38,0)").alias("base_cents"))
@@ -211,7 +212,7 @@ def fact_check(spark, sf_dir):
     checks = events.filter(F.col("event_type") == "view").select(
         F.col("event_id").alias("check_id"), "user_id", "ts", F.when(F.col("value") > 100, "fail").otherwise("pass").alias("result"))
     keyed = facts.dimension_keys(checks, [(dim, "user_id", "user_sk")], "ts", broadcast_rows=100)
-    return salted_join(keyed, dim.select("user_sk", "status"), ["user_sk"], "left").select(
+    return keyed.join(dim.select("user_sk", "status"), "user_sk", "left").select(
         "check_id", dates.date_key(dates.local_date("ts", ntz_utc=True)).alias("date_key"), "result", "status")
 
 
@@ -247,7 +248,8 @@ def fact_holding_snapshot(spark, sf_dir):
             .agg(F.sum(decimal("l_quantity", 4)).cast("decimal(38,4)").alias("units")))
     prices = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), decimal("p_retailprice").alias("price"))
     value = F.round(F.col("units").cast("decimal(19,4)") * F.col("price"), 2).cast("decimal(38,2)")
-    return salted_join(held, prices, ["l_partkey"], "inner").select(
+    hot = hot_keys(table(spark, sf_dir, "lineitem"), ["l_partkey"])
+    return salted_join(held, prices, ["l_partkey"], "inner", hot=hot).select(
         dates.date_key("d").alias("date_key"), "l_suppkey", "l_partkey", "units", value.alias("market_value"))
 
 

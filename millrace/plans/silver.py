@@ -3,75 +3,101 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import clean, quality
 from millrace.registry import RENAMED_FIELDS, Feed, contract_columns
 from millrace.sources import manifests, tables
+from millrace.sources.files import file_name
 from millrace.streaming.bronze import read_bronze
 
 
 def accepted_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed, start: str | None = None,
-                    end: str | None = None) -> DataFrame:
-    """Rows of files the latest manifests list, within the dates (partition pruning on _batch_date)."""
+                    end: str | None = None, verdicts: DataFrame | None = None) -> DataFrame:
+    """Rows of files the latest manifests list, within the dates (partition pruning on _batch_date).
+
+    `verdicts` (business_date, accepted) keeps rejected batches out as a whole.
+    """
+    read = manifests.read_manifests(spark, lake.landing, feed)
+    if start:
+        read = read.filter(F.col("business_date") >= F.lit(start).cast("date"))
+    if end:
+        read = read.filter(F.col("business_date") <= F.lit(end).cast("date"))
+    if verdicts is not None:
+        read = read.join(verdicts.filter("accepted").select("business_date"), "business_date", "left_semi")
+    listing = (read.select("business_date", F.coalesce("delivery_attempt", F.lit(1)).alias("delivery_attempt"),
+                           F.explode("files.name").alias("_file"))
+               .withColumnRenamed("business_date", "_batch_date").distinct())
     bronze = read_bronze(spark, lake, feed)
     if start:
         bronze = bronze.filter(F.col("_batch_date") >= F.lit(start).cast("date"))
     if end:
         bronze = bronze.filter(F.col("_batch_date") <= F.lit(end).cast("date"))
-    read = manifests.read_manifests(spark, lake.landing, feed)
-    listing = (manifests.manifest_listing(read).join(
-        read.select("folder", F.coalesce("delivery_attempt", F.lit(1)).alias("delivery_attempt")), "folder")
-        .filter(F.col("file_name").isNotNull())
-        .select(F.col("business_date").alias("_batch_date"), F.col("file_name").alias("_file"), "delivery_attempt")
-        .distinct())
-    return (bronze.withColumn("_file", F.substring_index("_source_file", "/", -1))
+    return (bronze.withColumn("_file", file_name("_source_file"))
             .join(listing, ["_batch_date", "_file"]).drop("_file"))
 
 
+def unique_key(feed: Feed) -> list[str]:
+    """What may occur once in Silver: change feeds repeat their key on purpose, snapshots every day."""
+    per_kind = {"changes": ["change_seq"], "snapshot": ["_batch_date"], "events": []}
+    return [*feed.keys, *per_kind[feed.kind]]
+
+
+def feed_rules(feed: Feed, columns: dict[str, str], rules: Sequence[quality.Rule]) -> list[quality.Rule]:
+    """Structure and key rules every feed has, plus the given ones (which win on equal names)."""
+    texts = [c if t == "string" else f"{c}_text" for c, t in columns.items()]
+    general = [quality.Rule("malformed_record", "structure", clean.all_null(texts)),
+               *[quality.Rule(f"missing_{k}", "keys", F.col(k).isNull()) for k in feed.keys]]
+    named = {r.name for r in rules}
+    return [*[r for r in general if r.name not in named], *rules]
+
+
+def judged_rows(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[quality.Rule] = (),
+                version: str = "1.0", **scope) -> DataFrame:
+    """Typed rows of the scope with the first broken rule in `reason`."""
+    columns = contract_columns(feed, version)
+    bronze = clean.merge_renamed(accepted_bronze(spark, lake, feed, **scope), RENAMED_FIELDS.get(feed.entity, {}))
+    typed = clean.typed_projection(bronze, columns, keep=[*clean.TRACE, "delivery_attempt"])
+    return quality.apply_rules(typed, feed_rules(feed, columns, rules))
+
+
 def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[quality.Rule] = (),
           start: str | None = None, end: str | None = None, version: str = "1.0",
-          extra: dict[str, Column] | None = None) -> None:
+          verdicts: DataFrame | None = None) -> None:
     """Typed, ruled, quarantined and deduplicated rows of the range, written as whole partitions.
 
-    Existing Silver rows of the touched dates are read again together with the new ones, so a late or
-    repeated delivery ends in the table an in-order delivery would have produced. Silver is partitioned by
-    the batch date of the row.
+    Every date of the range is computed from Bronze again, so late, repeated and corrected deliveries end in
+    the table an in-order delivery would have produced. Both tables are partitioned by batch date.
     """
-    columns = contract_columns(feed, version)
-    bronze = clean.merge_renamed(accepted_bronze(spark, lake, feed, start, end), RENAMED_FIELDS.get(feed.entity, {}))
-    typed = clean.typed_projection(bronze, columns, keep=[*clean.TRACE, "delivery_attempt"])
-    base_rules = [quality.Rule("malformed_record", "structure", clean.all_null(
-        [f"{c}_text" if t != "string" else c for c, t in columns.items()])),
-        *[quality.Rule(f"missing_{k}", "keys", F.col(k).isNull()) for k in feed.keys]]
-    have = {r.name for r in rules}
-    judged = quality.apply_rules(typed, [*[r for r in base_rules if r.name not in have], *rules])
-
+    scope = dict(start=start, end=end, verdicts=verdicts)
+    touched = {r[0] for r in accepted_bronze(spark, lake, feed, **scope)
+               .select(F.col("_batch_date").cast("string")).distinct().collect()}   # one value per date
+    judged = judged_rows(spark, lake, feed, rules, version, **scope)
     bad = judged.filter(F.col("reason").isNotNull())
-    tables.replace_partitions(bad, lake.path("silver", f"quarantine/{feed.entity}"), ["_batch_date"])
-
-    # A change feed repeats its key on purpose: there the sequence number is part of what must be unique.
-    unique = [*feed.keys, *(["change_seq"] if feed.kind == "changes" else []),
-              *(["_batch_date"] if feed.kind == "snapshot" else [])]
-    good = judged.filter(F.col("reason").isNull()).drop("reason", "_raw", *[
-        f"{c}_text" for c, t in columns.items() if t != "string"])
-    for name, expression in (extra or {}).items():
-        good = good.withColumn(name, expression)
-    best = clean.winners(good, unique, clean.delivery_order(good))
-    tables.replace_partitions(best, lake.path("silver", feed.entity), ["_batch_date"])
+    tables.replace_range(bad, lake.path("silver", f"quarantine/{feed.entity}"), "_batch_date", touched)
+    good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
+    best = clean.winners(good, unique_key(feed), clean.delivery_order(good))
+    tables.replace_range(best, lake.path("silver", feed.entity), "_batch_date", touched)
 
 
 def rebuild_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, dates: DataFrame, **options) -> None:
     """Backfill or late delivery: rebuilds the span of the touched dates and nothing else."""
-    span = dates.agg(F.min("_batch_date").cast("string").alias("start"),
-                     F.max("_batch_date").cast("string").alias("end")).first()
-    if span["start"] is not None:
-        build(spark, lake, feed, start=span["start"], end=span["end"], **options)
+    span = dates.agg(F.min("_batch_date").cast("string"), F.max("_batch_date").cast("string")).first()
+    if span[0] is not None:
+        build(spark, lake, feed, start=span[0], end=span[1], **options)
+
+
+def silver_columns(feed: Feed, version: str = "1.0") -> dict[str, str]:
+    final = {c: "date" if t == "date_or_instant" else t for c, t in contract_columns(feed, version).items()}
+    return {**final, "_source_file": "string", "_file_modification_time": "timestamp", "_run_id": "string",
+            "delivery_attempt": "int", "_batch_date": "date"}
 
 
-def read_silver(spark: SparkSession, lake: tables.Lake, feed: Feed) -> DataFrame:
-    return tables.read_table(spark, lake.path("silver", feed.entity))
+def read_silver(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0") -> DataFrame:
+    """Under the contract's schema: columns a later version added read NULL in older files."""
+    fields = ", ".join(f"`{c}` {t}" for c, t in silver_columns(feed, version).items())
+    return spark.read.schema(fields).parquet(lake.path("silver", feed.entity))
 
 
 def read_quarantine(spark: SparkSession, lake: tables.Lake, feed: Feed) -> DataFrame:

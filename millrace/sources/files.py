@@ -17,19 +17,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return [status.getPath().toString() for status in found] if found else []
+
+
+def glob_exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(_glob(spark, pattern))
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> DataFrame:
     """One row (path) per file matching the glob. Names only; no content reaches the driver.
 
     Spark's own readers hide names that start with an underscore, so the listing asks the file system.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-    paths = [(status.getPath().toString(),) for status in found] if found else []
-    listing = spark.createDataFrame(paths, "path string")
+    paths = _glob(spark, pattern)
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
     tasks = max(1, min(len(paths) // 64, spark.sparkContext.defaultParallelism * 4))
     return listing.repartition(tasks) if tasks > 1 else listing.coalesce(1)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def open_filesystem(uri: str):
     """(Arrow file system, path) of a URI, usable inside a task."""
     from pyarrow import fs
@@ -54,20 +67,22 @@ def read_texts(paths: DataFrame) -> DataFrame:
 
 
 def digests(paths: DataFrame) -> DataFrame:
-    """(path, sha256, bytes), hashed in chunks so that file size does not matter."""
+    """(path, sha256, bytes), hashed in chunks so that file size does not matter; NULLs for a missing file."""
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hashes, sizes = [], []
+            found = []
             for uri in batch["path"]:
                 filesystem, path = open_filesystem(uri)
                 sha, size = hashlib.sha256(), 0
-                with filesystem.open_input_stream(path) as stream:
-                    while chunk := stream.read(CHUNK):
-                        sha.update(chunk)
-                        size += len(chunk)
-                hashes.append(sha.hexdigest())
-                sizes.append(size)
-            yield pd.DataFrame({"path": batch["path"], "sha256": hashes, "bytes": sizes})
+                try:
+                    with filesystem.open_input_stream(path) as stream:
+                        while chunk := stream.read(CHUNK):
+                            sha.update(chunk)
+                            size += len(chunk)
+                    found.append((uri, sha.hexdigest(), size))
+                except FileNotFoundError:
+                    found.append((uri, None, None))
+            yield pd.DataFrame(found, columns=["path", "sha256", "bytes"]).astype({"bytes": "Int64"})
     return paths.select("path").mapInPandas(digest, "path string, sha256 string, bytes bigint")
 
 

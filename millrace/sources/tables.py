@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import new_folder
@@ -56,6 +56,18 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
+def replace_range(df: DataFrame, path: str, partition: str, touched: set[str]) -> None:
+    """Like replace_partitions, and partitions of `touched` that ended up without rows are removed.
+
+    Which values were written is observed during the write itself, not computed again.
+    """
+    seen = Observation()
+    observed = df.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("values"))
+    replace_partitions(observed, path, [partition])
+    for value in touched - set(seen.get["values"]):
+        files.remove_folder(df.sparkSession, f"{path}/{partition}={value}")
+
+
 def append_run(df: DataFrame, path: str, run_column: str = "run_id") -> None:
     """Appends the rows of one run; a repeated run id replaces its own rows instead of doubling them."""
     replace_partitions(df, path, [run_column])

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from millrace.registry import Feed
 from millrace.sources import tables
-from millrace.sources.files import exists
+from millrace.sources.files import exists, glob_exists
 
 # Data files, and the date folders their paths carry.
 DATA_FILES = "*.jsonl"
-BATCH_DATE_PATTERN = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+$"
-LINEAGE = ["_source_file", "_file_modification_time", "_batch_date", "_ingest_ts", "_run_id"]
+BATCH_DATE_PATTERN = r"/(\d{4}/\d{2}/\d{2})/[^/]+$"
+LINEAGE = {"_source_file": "string", "_file_modification_time": "timestamp", "_batch_date": "date",
+           "_ingest_ts": "timestamp", "_run_id": "string"}
 MAX_NEW_COLUMNS = 200
 MAX_BATCH_BYTES = 512 * 1024 ** 3
 
@@ -30,18 +31,19 @@ def read_landing(spark: SparkSession, landing_root: str, feed: Feed,
 def batch_date(path: Column | str) -> Column:
     """Date from .../yyyy/mm/dd/<file>; NULL when the path carries none."""
     path = F.col(path) if isinstance(path, str) else path
-    return F.try_to_date(F.concat_ws("-", *[F.regexp_extract(path, BATCH_DATE_PATTERN, i) for i in (1, 2, 3)]))
+    return F.try_to_date(F.regexp_extract(path, BATCH_DATE_PATTERN, 1), "yyyy/MM/dd")
 
 
 def add_lineage(df: DataFrame, run_id: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        path.alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias("_file_modification_time"),
-        batch_date(path).alias("_batch_date"),
-        F.current_timestamp().alias("_ingest_ts"),
-        F.lit(run_id).alias("_run_id"))
+    """Where each row came from, when, and in which run."""
+    file = F.col("_metadata")
+    return df.withColumns({
+        "_source_file": file["file_path"],
+        "_file_modification_time": file["file_modification_time"],
+        "_batch_date": batch_date(file["file_path"]),
+        "_ingest_ts": F.now(),
+        "_run_id": F.lit(run_id),
+    })
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -80,15 +82,22 @@ def known_columns(spark: SparkSession, lake: tables.Lake, feed: Feed) -> list[st
     return columns
 
 
-def _discover(spark: SparkSession, lake: tables.Lake, feed: Feed, written: DataFrame, marker: str) -> bool:
-    """Logs unexpected field names found in `_rescued_data`. TRUE when new columns were added."""
-    names = (written.filter(F.col("_rescued_data").isNotNull())
-             .select(F.explode(F.json_object_keys("_rescued_data")).alias("column_name"))
+def _discover(spark: SparkSession, lake: tables.Lake, feed: Feed, batch_id: int) -> bool:
+    """Logs unexpected field names a micro-batch left in `_rescued_data`. TRUE when columns were added.
+
+    Reads one column of the files the micro-batch wrote, with a given schema and no footer pass.
+    """
+    target = lake.path("bronze", feed.entity)
+    pattern = f"{target}/*/_ingest_batch={batch_id}"
+    if not glob_exists(spark, pattern):
+        return False
+    rescued = spark.read.schema("_rescued_data string").parquet(pattern).filter(F.col("_rescued_data").isNotNull())
+    names = (rescued.select(F.explode(F.json_object_keys("_rescued_data")).alias("column_name"))
              .groupBy("column_name").count()
              .filter(~F.col("column_name").startswith("_"))
              .orderBy(F.desc("count"), "column_name").limit(MAX_NEW_COLUMNS)
              .select(F.lit(feed.entity).alias("entity"), "column_name",
-                     F.lit(marker).alias("discovered_in")))
+                     F.lit(f"{batch_id:012d}").alias("discovered_in")))
     rows = names.collect()
     if rows:
         spark.createDataFrame(rows, names.schema).coalesce(1).write.mode("append").parquet(
@@ -118,10 +127,8 @@ def ingest(spark: SparkSession, lake: tables.Lake, feed: Feed, run_id: str, evol
 
         session = batch.sparkSession
         store(known_columns(session, lake, feed))
-        if evolve == "add" and exists(session, target):
-            written = tables.read_table(session, target).filter(F.col("_ingest_batch") == batch_id)
-            if _discover(session, lake, feed, written, f"{batch_id:012d}"):
-                store(known_columns(session, lake, feed))
+        if evolve == "add" and _discover(session, lake, feed, batch_id):
+            store(known_columns(session, lake, feed))
 
     query = (add_lineage(read_landing(spark, landing_root or lake.landing, feed, max_bytes_per_trigger), run_id)
              .writeStream.queryName(f"bronze_{feed.entity}")
@@ -132,4 +139,7 @@ def ingest(spark: SparkSession, lake: tables.Lake, feed: Feed, run_id: str, evol
 
 
 def read_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed) -> DataFrame:
-    return tables.read_table(spark, lake.path("bronze", feed.entity))
+    """The table under the schema its column log gives: no file footer is read to find it out."""
+    names = [*known_columns(spark, lake, feed), "_rescued_data", "_raw"]
+    fields = [*[f"`{n}` string" for n in names], *[f"`{n}` {t}" for n, t in LINEAGE.items()], "_ingest_batch bigint"]
+    return spark.read.schema(", ".join(fields)).parquet(lake.path("bronze", feed.entity))
