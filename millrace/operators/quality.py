@@ -55,12 +55,21 @@ def rule_results(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -
             .select(*by, "p.rule", "rows_checked", "p.rows_failed"))
 
 
-def transaction_rules(currencies: Sequence[str], columns: Sequence[str]) -> list[Rule]:
-    """The payment feed's rules over a typed projection (text columns end in _text)."""
+def source_texts(columns: dict[str, str]) -> list[str]:
+    """Names under which a typed projection keeps what the source sent."""
+    return [name if kind == "string" else f"{name}_text" for name, kind in columns.items()]
+
+
+def malformed(columns: dict[str, str]) -> Rule:
+    """A record none of whose source columns has a value."""
+    return Rule("malformed_record", "structure", F.coalesce(*[F.col(c) for c in source_texts(columns)]).isNull())
+
+
+def transaction_rules(currencies: Sequence[str], columns: dict[str, str]) -> list[Rule]:
+    """The payment feed's rules over a typed projection of `columns`."""
     c = F.col
-    empty = F.coalesce(*[c(x).cast("string") for x in columns]).isNull()
     return [
-        Rule("malformed_record", "structure", empty),
+        malformed(columns),
         Rule("missing_transaction_id", "keys", c("transaction_id").isNull()),
         Rule("invalid_amount", "types", c("amount").isNull() & c("amount_text").isNotNull()),
         Rule("invalid_event_ts", "types", c("event_ts").isNull() & c("event_ts_text").isNotNull()),

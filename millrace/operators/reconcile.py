@@ -11,35 +11,37 @@ class ReconciliationError(RuntimeError):
     """Bronze and the manifests disagree."""
 
 
-def reconcile(bronze: DataFrame, listing: DataFrame, entity: str, run_id: str) -> DataFrame:
-    """Per batch date: manifest count, rows from listed files, rows from other files, OK or MISMATCH.
+def stored_files(bronze: DataFrame, entity: str) -> DataFrame:
+    """Bronze rows per (entity, batch_date, file_name), counted before anything else touches them."""
+    return (bronze.groupBy(F.col("_batch_date").alias("batch_date"),
+                           F.substring_index("_source_file", "/", -1).alias("file_name"))
+            .agg(F.count(F.lit(1)).alias("rows")).withColumn("entity", F.lit(entity)))
+
+
+def reconcile_files(stored: DataFrame, listing: DataFrame, run_id: str) -> DataFrame:
+    """Per entity and batch date: manifest count, rows from listed files, rows from other files, OK or MISMATCH.
 
-    Bronze is counted per (date, file) before it meets the listing, so the joins see one row per file.
-    Missing counts are 0. A listed file counts once per time it is listed.
+    One full join of files found and files listed, then one aggregate: both sides hold one row per file.
+    Missing counts are 0. A file counts as often as it is listed.
     """
-    announced = listing.groupBy(F.col("business_date").alias("batch_date")).agg(
-        F.max("record_count").alias("manifest_records"))
-    listed = (listing.filter(F.col("file_name").isNotNull())
-              .groupBy(F.col("business_date").alias("batch_date"), "file_name")
-              .agg(F.count(F.lit(1)).alias("times_listed")))
-    stored = (bronze.groupBy(F.col("_batch_date").alias("batch_date"),
-                             F.substring_index("_source_file", "/", -1).alias("file_name"))
-              .agg(F.count(F.lit(1)).alias("rows"))
-              .join(listed, ["batch_date", "file_name"], "left")
-              .groupBy("batch_date")
-              .agg(F.sum(F.col("rows") * F.coalesce("times_listed", F.lit(0))).alias("bronze_records"),
-                   F.sum(F.when(F.col("times_listed").isNull(), F.col("rows")).otherwise(0))
-                   .alias("unlisted_records")))
+    keys = ["entity", "batch_date", "file_name"]
+    listed = (listing.withColumnRenamed("business_date", "batch_date").groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("times_listed"), F.max("record_count").alias("record_count")))
     zero = F.lit(0).cast("bigint")
-    counts = announced.join(stored, "batch_date", "full_outer").select(
-        F.lit(entity).alias("entity"), "batch_date",
-        F.coalesce("manifest_records", zero).alias("manifest_records"),
-        F.coalesce("bronze_records", zero).alias("bronze_records"),
-        F.coalesce("unlisted_records", zero).alias("unlisted_records"))
-    return counts.select(
-        "*",
-        F.when(F.col("manifest_records") == F.col("bronze_records"), "OK").otherwise("MISMATCH").alias("status"),
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"))
+    in_list = F.col("rows") * F.col("times_listed")
+    not_in_list = F.when(F.col("times_listed").isNull(), F.col("rows"))
+    counts = stored.join(listed, keys, "full_outer").groupBy("entity", "batch_date").agg(
+        F.coalesce(F.max("record_count"), zero).alias("manifest_records"),
+        F.coalesce(F.sum(in_list), zero).alias("bronze_records"),
+        F.coalesce(F.sum(not_in_list), zero).alias("unlisted_records"))
+    matches = F.col("manifest_records") == F.col("bronze_records")
+    return counts.withColumns({"status": F.when(matches, "OK").otherwise("MISMATCH"),
+                               "run_id": F.lit(run_id), "checked_at": F.now()})
+
+
+def reconcile(bronze: DataFrame, listing: DataFrame, entity: str, run_id: str) -> DataFrame:
+    """One feed's reconciliation; `listing` holds this feed's manifests."""
+    return reconcile_files(stored_files(bronze, entity), listing.withColumn("entity", F.lit(entity)), run_id)
 
 
 def gate_counts(results: DataFrame, status: str = "status") -> DataFrame:

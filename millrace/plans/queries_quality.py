@@ -365,7 +365,7 @@ def business_rules(spark, sf_dir):
     columns = {"transaction_id": "string", "currency": "string", "amount": "decimal(18,2)", "event_ts": "timestamp",
                "biller_id": "string", "transaction_type": "string", "due_date": "date_or_instant"}
     typed = clean.typed_projection(rows, columns, keep=["_batch_date"])
-    rules = quality.transaction_rules(["EUR", "PLN", "SEK", "GBP", "USD"], list(columns))
+    rules = quality.transaction_rules(["EUR", "PLN", "SEK", "GBP", "USD"], columns)
     finding = F.coalesce(quality.first_reason(rules), F.lit("ok"))
     return typed.groupBy(F.col("_batch_date").alias("batch_date"), finding.alias("finding")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 
 from millrace.operators import clean, quality
 from millrace.registry import RENAMED_FIELDS, Feed, contract_columns
+from millrace.session import materialize
 from millrace.sources import manifests, tables
 from millrace.sources.files import file_name
 from millrace.streaming.bronze import read_bronze
 
 
-def accepted_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed, start: str | None = None,
-                    end: str | None = None, verdicts: DataFrame | None = None) -> DataFrame:
-    """Rows of files the latest manifests list, within the dates (partition pruning on _batch_date).
+def accepted_files(spark: SparkSession, lake: tables.Lake, feed: Feed, start: str | None = None,
+                   end: str | None = None, verdicts: DataFrame | None = None) -> DataFrame:
+    """(_batch_date, _file, delivery_attempt) of the files the latest manifests list, within the dates.
 
-    `verdicts` (business_date, accepted) keeps rejected batches out as a whole.
+    `verdicts` (business_date, accepted) keeps rejected batches out as a whole. An empty batch keeps its date
+    with a NULL file. Read once and kept: manifests may be replaced while a build runs.
     """
     read = manifests.read_manifests(spark, lake.landing, feed)
     if start:
@@ -26,16 +28,20 @@ def accepted_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed, start: s
         read = read.filter(F.col("business_date") <= F.lit(end).cast("date"))
     if verdicts is not None:
         read = read.join(verdicts.filter("accepted").select("business_date"), "business_date", "left_semi")
-    listing = (read.select("business_date", F.coalesce("delivery_attempt", F.lit(1)).alias("delivery_attempt"),
-                           F.explode("files.name").alias("_file"))
-               .withColumnRenamed("business_date", "_batch_date").distinct())
-    bronze = read_bronze(spark, lake, feed)
-    if start:
-        bronze = bronze.filter(F.col("_batch_date") >= F.lit(start).cast("date"))
-    if end:
-        bronze = bronze.filter(F.col("_batch_date") <= F.lit(end).cast("date"))
-    return (bronze.withColumn("_file", file_name("_source_file"))
-            .join(listing, ["_batch_date", "_file"]).drop("_file"))
+    return materialize(read.select(
+        F.col("business_date").alias("_batch_date"), F.coalesce("delivery_attempt", F.lit(1)).alias("delivery_attempt"),
+        F.explode_outer("files.name").alias("_file")).distinct())
+
+
+def batch_dates(accepted: DataFrame) -> list:
+    """The dates of a build: one value per date, for partition pruning."""
+    return [r["_batch_date"] for r in accepted.select("_batch_date").distinct().collect()]
+
+
+def accepted_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed, accepted: DataFrame, days: list) -> DataFrame:
+    """Bronze rows of accepted files; only the partitions of their dates are listed and read."""
+    bronze = read_bronze(spark, lake, feed).filter(F.col("_batch_date").isin(days))
+    return bronze.withColumn("_file", file_name("_source_file")).join(accepted, ["_batch_date", "_file"]).drop("_file")
 
 
 def unique_key(feed: Feed) -> list[str]:
@@ -46,18 +52,17 @@ def unique_key(feed: Feed) -> list[str]:
 
 def feed_rules(feed: Feed, columns: dict[str, str], rules: Sequence[quality.Rule]) -> list[quality.Rule]:
     """Structure and key rules every feed has, plus the given ones (which win on equal names)."""
-    texts = [c if t == "string" else f"{c}_text" for c, t in columns.items()]
-    general = [quality.Rule("malformed_record", "structure", clean.all_null(texts)),
+    general = [quality.malformed(columns),
                *[quality.Rule(f"missing_{k}", "keys", F.col(k).isNull()) for k in feed.keys]]
     named = {r.name for r in rules}
     return [*[r for r in general if r.name not in named], *rules]
 
 
-def judged_rows(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[quality.Rule] = (),
-                version: str = "1.0", **scope) -> DataFrame:
-    """Typed rows of the scope with the first broken rule in `reason`."""
+def judged_rows(spark: SparkSession, lake: tables.Lake, feed: Feed, accepted: DataFrame, days: list,
+                rules: Sequence[quality.Rule] = (), version: str = "1.0") -> DataFrame:
+    """Typed rows of accepted files with the first broken rule in `reason`."""
     columns = contract_columns(feed, version)
-    bronze = clean.merge_renamed(accepted_bronze(spark, lake, feed, **scope), RENAMED_FIELDS.get(feed.entity, {}))
+    bronze = clean.merge_renamed(accepted_bronze(spark, lake, feed, accepted, days), RENAMED_FIELDS.get(feed.entity, {}))
     typed = clean.typed_projection(bronze, columns, keep=[*clean.TRACE, "delivery_attempt"])
     return quality.apply_rules(typed, feed_rules(feed, columns, rules))
 
@@ -70,10 +75,10 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     Every date of the range is computed from Bronze again, so late, repeated and corrected deliveries end in
     the table an in-order delivery would have produced. Both tables are partitioned by batch date.
     """
-    scope = dict(start=start, end=end, verdicts=verdicts)
-    touched = {r[0] for r in accepted_bronze(spark, lake, feed, **scope)
-               .select(F.col("_batch_date").cast("string")).distinct().collect()}   # one value per date
-    judged = judged_rows(spark, lake, feed, rules, version, **scope)
+    accepted = accepted_files(spark, lake, feed, start, end, verdicts)
+    days = batch_dates(accepted)
+    touched = {str(d) for d in days}
+    judged = judged_rows(spark, lake, feed, accepted, days, rules, version)
     bad = judged.filter(F.col("reason").isNotNull())
     tables.replace_range(bad, lake.path("silver", f"quarantine/{feed.entity}"), "_batch_date", touched)
     good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
@@ -100,5 +105,9 @@ def read_silver(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str
     return spark.read.schema(fields).parquet(lake.path("silver", feed.entity))
 
 
-def read_quarantine(spark: SparkSession, lake: tables.Lake, feed: Feed) -> DataFrame:
-    return tables.read_table(spark, lake.path("silver", f"quarantine/{feed.entity}"))
+def read_quarantine(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0") -> DataFrame:
+    """Typed values, the texts they came from, the reason, and the raw line of a malformed record."""
+    texts = quality.source_texts(contract_columns(feed, version))
+    columns = {**{t: "string" for t in texts}, **silver_columns(feed, version), "_raw": "string", "reason": "string"}
+    fields = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+    return spark.read.schema(fields).parquet(lake.path("silver", f"quarantine/{feed.entity}"))

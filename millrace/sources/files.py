@@ -17,14 +17,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob, from the file system itself."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
     return [status.getPath().toString() for status in found] if found else []
 
 
 def glob_exists(spark: SparkSession, pattern: str) -> bool:
-    return bool(_glob(spark, pattern))
+    return bool(list_files(spark, pattern))
 
 
 def glob_paths(spark: SparkSession, pattern: str) -> DataFrame:
@@ -32,7 +33,7 @@ def glob_paths(spark: SparkSession, pattern: str) -> DataFrame:
 
     Spark's own readers hide names that start with an underscore, so the listing asks the file system.
     """
-    paths = _glob(spark, pattern)
+    paths = list_files(spark, pattern)
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
     tasks = max(1, min(len(paths) // 64, spark.sparkContext.defaultParallelism * 4))
     return listing.repartition(tasks) if tasks > 1 else listing.coalesce(1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import new_folder
@@ -59,13 +59,23 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 def replace_range(df: DataFrame, path: str, partition: str, touched: set[str]) -> None:
     """Like replace_partitions, and partitions of `touched` that ended up without rows are removed.
 
-    Which values were written is observed during the write itself, not computed again.
+    A written partition has new files, so one whose file names did not change was not written.
     """
-    seen = Observation()
-    observed = df.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("values"))
-    replace_partitions(observed, path, [partition])
-    for value in touched - set(seen.get["values"]):
-        files.remove_folder(df.sparkSession, f"{path}/{partition}={value}")
+    spark = df.sparkSession
+
+    def contents() -> dict[str, set[str]]:
+        found: dict[str, set[str]] = {}
+        for file in files.list_files(spark, f"{path}/{partition}=*/part-*"):
+            folder, name = file.rsplit("/", 1)
+            found.setdefault(folder.rsplit("=", 1)[1], set()).add(name)
+        return found
+
+    before = contents()
+    replace_partitions(df, path, [partition])
+    after = contents()
+    for value in touched & set(before):
+        if before[value] == after.get(value):
+            files.remove_folder(spark, f"{path}/{partition}={value}")
 
 
 def append_run(df: DataFrame, path: str, run_column: str = "run_id") -> None:
