@@ -134,8 +134,7 @@ def orphans_as_of(facts: DataFrame, master: DataFrame, key: str, as_of: str, fir
             .drop("_first_seen"))
 
 
-def sequence_findings(changes: DataFrame, scope: Sequence[str], seq: str, batch_date: str,
-                      max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def sequence_findings(changes: DataFrame, scope: Sequence[str], seq: str, batch_date: str) -> DataFrame:
     """Change sequences that repeat within a scope or whose leading date is not the batch date."""
     counted = changes.groupBy(*scope, seq, batch_date).agg(F.count(F.lit(1)).alias("uses"))
     per_seq = counted.groupBy(*scope, seq).agg(F.sum("uses").alias("uses"), F.min(batch_date).alias(batch_date),

@@ -9,8 +9,6 @@ Error events above 60.00 are cut in the middle of the line; click events from th
 """
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,18 +93,18 @@ def _deliver_orders(spark: SparkSession, sf_dir: str, landing: str) -> None:
     delivery.write_manifests(_manifests(written.withColumn("attempt", F.lit(1)), totals, ORDERS, announced), landing)
 
 
-@lru_cache(maxsize=8)
-def _delivered(app_id: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
-    root = new_folder(spark, "landing")
-    _deliver_events(spark, sf_dir, root)
-    _deliver_orders(spark, sf_dir, root)
-    return root
+_DELIVERED: dict[tuple[str, str], str] = {}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """The delivered landing area; delivered once per application, as an upstream system would."""
-    return _delivered(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DELIVERED:
+        root = new_folder(spark, "landing")
+        _deliver_events(spark, sf_dir, root)
+        _deliver_orders(spark, sf_dir, root)
+        _DELIVERED[key] = root
+    return _DELIVERED[key]
 
 
 def new_lake(spark: SparkSession, label: str) -> tables.Lake:

@@ -1,8 +1,6 @@
 """Landing to Bronze, reconciliation and delivery checks."""
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,16 +36,21 @@ reconciled AS (
 """
 
 
-@lru_cache(maxsize=16)
-def _ingested(app_id: str, sf_dir: str, evolve: str) -> tables.Lake:
-    spark = SparkSession.getActiveSession()
-    lake = new_lake(spark, "lake")
-    ingest(spark, lake, EVENTS, "run-1", evolve=evolve, landing_root=landing(spark, sf_dir))
-    return lake
+_LAKES: dict[tuple[str, str, str], tables.Lake] = {}
+
+
+def ingested(spark: SparkSession, sf_dir: str, evolve: str = "add") -> tables.Lake:
+    """A lake whose Bronze holds the delivered events; ingested once per application and mode."""
+    key = (spark.sparkContext.applicationId, sf_dir, evolve)
+    if key not in _LAKES:
+        lake = new_lake(spark, "lake")
+        ingest(spark, lake, EVENTS, "run-1", evolve=evolve, landing_root=landing(spark, sf_dir))
+        _LAKES[key] = lake
+    return _LAKES[key]
 
 
 def bronze(spark: SparkSession, sf_dir: str, evolve: str = "add") -> DataFrame:
-    return read_bronze(spark, _ingested(spark.sparkContext.applicationId, sf_dir, evolve), EVENTS)
+    return read_bronze(spark, ingested(spark, sf_dir, evolve), EVENTS)
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,8 +159,7 @@ SELECT d AS batch_date, CAST(announced AS BIGINT) AS record_count, CAST(listed A
 FROM days""")
 def batch_verify_files(spark, sf_dir):
     """Counts and checksums of the files themselves, control totals of their parsed rows."""
-    lake = _ingested(spark.sparkContext.applicationId, sf_dir, "add")
-    return bronze_run.verify_feed(spark, lake, EVENTS, landing(spark, sf_dir)).select(
+    return bronze_run.verify_feed(spark, ingested(spark, sf_dir), EVENTS, landing(spark, sf_dir)).select(
         F.col("business_date").alias("batch_date"), "record_count", "delivered_records", "reason", "accepted")
 
 

@@ -20,8 +20,16 @@ from millrace.sources.manifests import MANIFEST_NAME
 FILE_SCHEMA = "business_date date, file_name string, records bigint, sha256 string, path string"
 
 
-def _folder(root: str, source: str, entity: str, day) -> str:
-    return f"{root}/{source}/{entity}/{day:%Y}/{day:%m}/{day:%d}"
+def _stream_opener():
+    """(root, source, entity, day, name) -> (uri, open output stream), made to travel with a task."""
+    locate = files.opener()
+
+    def open_stream(root: str, source: str, entity: str, day, name: str):
+        uri = f"{root}/{source}/{entity}/{day:%Y}/{day:%m}/{day:%d}/{name}"
+        filesystem, path = locate(uri)
+        filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        return uri, filesystem.open_output_stream(path)
+    return open_stream
 
 
 def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: int = 0,
@@ -41,6 +49,8 @@ def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: i
                 .sortWithinPartitions("business_date", "_part", order)
                 .select("business_date", "_part", "line"))
 
+    open_stream = _stream_opener()
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, stream, sha, count, target, done = None, None, None, 0, None, []
 
@@ -54,11 +64,7 @@ def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: i
                 if key != current:
                     close()
                     current, sha, count = key, hashlib.sha256(), 0
-                    folder = _folder(root, source, entity, key[0])
-                    target = f"{folder}/part-{key[1]:04d}.jsonl"
-                    filesystem, path = files.open_filesystem(target)
-                    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                    stream = filesystem.open_output_stream(path)
+                    target, stream = open_stream(root, source, entity, key[0], f"part-{key[1]:04d}.jsonl")
                 block = ("\n".join(lines) + "\n").encode("utf-8")
                 stream.write(block)
                 sha.update(block)
@@ -77,13 +83,12 @@ def write_manifests(batches: DataFrame, root: str) -> None:
     document = F.to_json(F.struct(*[F.col(c) for c in batches.columns]))
     ready = batches.select("source", "entity", "business_date", document.alias("document"))
 
+    open_stream = _stream_opener()
+
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                target = f"{_folder(root, row.source, row.entity, row.business_date)}/{MANIFEST_NAME}"
-                filesystem, path = files.open_filesystem(target)
-                filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                with filesystem.open_output_stream(path) as stream:
+                with open_stream(root, row.source, row.entity, row.business_date, MANIFEST_NAME)[1] as stream:
                     stream.write((json.dumps(json.loads(row.document), indent=2) + "\n").encode("utf-8"))
             yield pd.DataFrame({"written": [len(frame)]})
 

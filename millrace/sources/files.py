@@ -3,7 +3,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -44,23 +43,32 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def open_filesystem(uri: str):
-    """(Arrow file system, path) of a URI, usable inside a task."""
-    from pyarrow import fs
+def opener():
+    """uri -> (Arrow file system, path), for use inside tasks.
 
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return fs.LocalFileSystem(), unquote(parsed.path)
-    return fs.FileSystem.from_uri(uri)
+    A nested function travels to the executors with its task, so they need Arrow but not this package.
+    """
+    def open_filesystem(uri: str):
+        from urllib.parse import unquote, urlparse
+
+        from pyarrow import fs
+
+        parsed = urlparse(uri)
+        if parsed.scheme in ("", "file"):
+            return fs.LocalFileSystem(), unquote(parsed.path)
+        return fs.FileSystem.from_uri(uri)
+    return open_filesystem
 
 
 def read_texts(paths: DataFrame) -> DataFrame:
     """(path, text) of small control files, read on the executors."""
+    locate = opener()
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
             for uri in batch["path"]:
-                filesystem, path = open_filesystem(uri)
+                filesystem, path = locate(uri)
                 with filesystem.open_input_stream(path) as stream:
                     texts.append(stream.read().decode("utf-8"))
             yield pd.DataFrame({"path": batch["path"], "text": texts})
@@ -69,11 +77,13 @@ def read_texts(paths: DataFrame) -> DataFrame:
 
 def digests(paths: DataFrame) -> DataFrame:
     """(path, sha256, bytes), hashed in chunks so that file size does not matter; NULLs for a missing file."""
+    locate = opener()
+
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for uri in batch["path"]:
-                filesystem, path = open_filesystem(uri)
+                filesystem, path = locate(uri)
                 sha, size = hashlib.sha256(), 0
                 try:
                     with filesystem.open_input_stream(path) as stream:
