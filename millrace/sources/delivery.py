@@ -37,12 +37,13 @@ def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: i
     """`rows`: (business_date, line, ...). Returns one row per written file: name, count, sha256.
 
     Attempt a numbers its files from a*1000+1. The content of a file is fixed by the data, so a retried task
-    writes the same bytes under the same name.
+    writes the same bytes under the same name. `order` should be unique per row: equal lines then spread over
+    the day's files instead of sharing one.
     """
     order = order or "line"
     sizes = rows.groupBy("business_date").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_files"))
-    part = F.pmod(F.xxhash64("line"), F.col("_files")).cast("int") + 1 + attempt * 1000
+    part = F.pmod(F.xxhash64(*dict.fromkeys([order, "line"])), F.col("_files")).cast("int") + 1 + attempt * 1000
     placed = (rows.join(sizes, "business_date").withColumn("_part", part)
               .select("business_date", "_part", *dict.fromkeys([order, "line"])))
     arranged = (placed.repartition("business_date", "_part")

@@ -255,3 +255,14 @@ def test_reconcile_reads_lineage_columns_only(spark, lake):
     ingest(spark, lake)
     text = bronze_run.reconcile_feeds(spark, lake, [TXN], "r")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<_source_file:string>" in text
+
+
+def test_delivery_spreads_equal_lines_over_bounded_files(spark, lake):
+    from millrace.sources import delivery
+
+    rows = spark.range(1000).select(F.lit(D0).alias("business_date"), F.lit('{"a":1}').alias("line"), "id")
+    written = delivery.write_files(rows, lake.landing, TXN.source, TXN.entity, rows_per_file=100, order="id").collect()
+    assert sum(r["records"] for r in written) == 1000 and len(written) == 10 and max(r["records"] for r in written) < 200
+    assert {r["file_name"] for r in written} == {f"part-{i:04d}.jsonl" for i in range(1, 11)}
+    found = {r["path"]: r["sha256"] for r in files.digests(spark.createDataFrame([(r["path"],) for r in written], "path string")).collect()}
+    assert found == {r["path"]: r["sha256"] for r in written}
