@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def by_bytes(batch: pa.RecordBatch, column: int, limit: int):
     """Slices of a batch whose texts hold about `limit` bytes each; one longer text is a slice of its own."""
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     start = held = 0
     for row, size in enumerate(sizes):
         held += size or 0
