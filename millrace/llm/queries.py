@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import token_counts
+from millrace.llm import bpe_prefix, token_counts
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,15 @@ def tokenizer_path(name: str) -> str:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under the byte-level vocabulary."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op5_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by prefix programming and decoded again, as digests."""
+    made = bpe_prefix.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return bpe_digests(made)
+
+
+def bpe_digests(made: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return made.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
