@@ -1,6 +1,12 @@
 """Small helpers that several operators share: Arrow mapping by rows, byte-balanced batches, shared tables."""
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +29,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this library to the executors, once a context, so that what runs inside tasks can be imported there and
+    keeps its tables from task to task. Spark copies the file itself; nobody else reads the driver's folder."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root, held = Path(__file__).resolve().parents[2], io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for file in sorted((root / "millrace").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    path = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace_code.zip")
+    Path(path).write_bytes(held.getvalue())
+    context.addPyFile(path)
+    context._millrace_shipped = True
+
+
 def by_bytes(batch: pa.RecordBatch, column: int, limit: int):
     """Slices of a batch whose texts hold about `limit` bytes each; one longer text is a slice of its own."""
     sizes = pc.binary_length(batch.column(column)).to_pylist()
@@ -39,6 +61,7 @@ def by_bytes(batch: pa.RecordBatch, column: int, limit: int):
 def map_arrow(df: DataFrame, columns: list[str], make, schema: str, limit: int = 1 << 20) -> DataFrame:
     """Maps `columns` of `df` (the last is the text) by batches: make() gives, once a task, a function from
     lists of the columns to lists of the output columns of `schema`."""
+    ship(df.sparkSession)
     out = df.sparkSession.createDataFrame([], schema).schema
 
     def run(batches):

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_prefix, token_counts
-from millrace.llm.common import table
+from millrace import session
+from millrace.llm import bpe_prefix, huffman_ids, token_counts
+from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,3 +42,13 @@ def op5_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(made: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return made.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op6_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text written in Huffman blocks in the order of doc_id, and read back from the files."""
+    encoded = stored(huffman_ids.encode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"),
+                                        end_id=1), "ids")
+    path = session.new_folder(spark, "huffman")
+    huffman_ids.write(encoded, path)
+    return huffman_ids.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
