@@ -76,6 +76,21 @@ def map_arrow(df: DataFrame, columns: list[str], make, schema: str, limit: int =
     return df.select(*[F.col(c) for c in columns]).mapInArrow(run, out)
 
 
+def keep_rows(df: DataFrame, text_col: str, make) -> DataFrame:
+    """The rows of `df`, with all their columns, for which make()(texts) says true. Columns are taken by position, so
+    their names do not matter."""
+    ship(df.sparkSession)
+    place = df.columns.index(text_col)
+
+    def run(batches):
+        keep = make()
+        for batch in batches:
+            for part in by_bytes(batch, place, 1 << 20):
+                yield part.filter(pa.array(keep(part.column(place).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks and empties itself when full, so its memory is bounded.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, token_counts
+from millrace.llm import bpe_prefix, huffman_ids, token_counts, toxicity
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,10 @@ def op6_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.new_folder(spark, "huffman")
     huffman_ids.write(encoded, path)
     return huffman_ids.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a lexicon learned from the labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
