@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, token_counts, toxicity
+from millrace.llm import bpe_prefix, huffman_ids, license_scan, token_counts, toxicity
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a lexicon learned from the labels outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels and the places of the base phrases in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
