@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, license_scan, token_counts, toxicity
+from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels and the places of the base phrases in every document."""
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op7_minhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share three quarters of their five-word shingles."""
+    return minhash_dups.near_copies(table(spark, sf_dir, "documents"))
