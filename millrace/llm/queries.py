@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity
+from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,50 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share three quarters of their five-word shingles."""
     return minhash_dups.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of at least 0.95."""
+    return vector_dups.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_vector_dups"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), good AS (
+    SELECT vec_id, x FROM v
+    WHERE x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(x, c -> c <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
+), reach AS (
+    SELECT a AS n, a AS r FROM links
+    UNION SELECT reach.n, links.b FROM reach JOIN links ON links.a = reach.r
+), low AS (SELECT n, min(r) AS c FROM reach GROUP BY n),
+counted AS (SELECT a, count(*) AS k FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(k, 0) AS n_links, coalesce(c, v.vec_id) AS component_id,
+       v.vec_id = coalesce(c, v.vec_id) AS kept
+FROM v LEFT JOIN counted ON counted.a = v.vec_id LEFT JOIN low ON low.n = v.vec_id"""
+SQL["op7_minhash_dups"] = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
+        i -> array_to_string(ws[i:i + 4], ' '))) AS sh FROM w WHERE len(ws) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+    SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y
+        ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+    JOIN sizes m ON m.doc_id = p.a JOIN sizes n ON n.doc_id = p.b
+    WHERE 100 * p.both >= 75 * (m.n + n.n - p.both)
+), reach AS (
+    SELECT a AS n, a AS r FROM links
+    UNION SELECT reach.n, links.b FROM reach JOIN links ON links.a = reach.r
+), low AS (SELECT n, min(r) AS c FROM reach GROUP BY n)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN low ON low.n = d.doc_id"""
