@@ -84,8 +84,8 @@ WITH RECURSIVE v AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
 ), good AS (
     SELECT vec_id, x FROM v
-    WHERE x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0
-      AND len(list_filter(x, c -> c <> 0)) > 0
+    WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(x, lambda c: c <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
     ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
@@ -101,10 +101,10 @@ SQL["op7_minhash_dups"] = """
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents
+        '[ \\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
 ), s AS (
     SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
-        i -> array_to_string(ws[i:i + 4], ' '))) AS sh FROM w WHERE len(ws) > 0
+        lambda i: array_to_string(ws[i:i + 4], ' '))) AS sh FROM w WHERE len(ws) > 0
 ), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (
     SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y
