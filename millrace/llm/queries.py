@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups
+from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups, warc
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,26 @@ links AS (
 SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
        d.doc_id = coalesce(c, d.doc_id) AS kept
 FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN low ON low.n = d.doc_id"""
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, read back and assembled to captures."""
+    path = session.new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(stored(warc.read(spark, path, with_payload=False), "records"))
+    return warc.pages_of(captures).drop("url")
+
+
+SQL["op2_warc"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           ((instr('0123456789abcdef', substr(p.h, (i * 5) // 4 + 1, 1)) - 1) * 16
+            + instr('0123456789abcdef', substr(p.h || '0', (i * 5) // 4 + 2, 1)) - 1)
+           >> (3 - (i * 5) % 4)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f ON p.h = f.h"""
