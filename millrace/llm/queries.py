@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups, warc
+from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups, warc
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,33 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p JOIN f ON p.h = f.h"""
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with words of benchmark windows."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256)).drop("item_ids")
+
+
+WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+SQL["op4_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+b AS (SELECT item_id, {WORDS_SQL} AS ws FROM benchmark),
+bw AS (
+    SELECT DISTINCT item_id, least(len(ws), 10) AS n, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1),
+        lambda i: array_to_string(ws[i:i + 9], ' '))) AS win FROM b WHERE len(ws) > 0
+), lens AS (SELECT DISTINCT n FROM bw),
+dw AS (
+    SELECT doc_id, n, pos, array_to_string(ws[pos:pos + n - 1], ' ') AS win
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos FROM d, lens WHERE len(ws) >= n)
+), hits AS (SELECT doc_id, dw.n, pos, item_id FROM dw JOIN bw ON bw.win = dw.win AND bw.n = dw.n),
+marks AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM (SELECT DISTINCT doc_id, n, pos FROM hits)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS h
+    FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marks ON marks.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id"""
