@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, token_counts, toxicity, vector_dups, warc
+from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, token_counts, toxicity, vector_dups, warc
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +171,10 @@ named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marks ON marks.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id"""
+
+
+@query
+def op9_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a byte-level network learned from the labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
