@@ -265,3 +265,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     return confirm(pairs, stored(sets_of(docs, wanted, id_col, text_col, size), "sets"), percent)
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, all columns as they are: that of the smallest id. Rows that repeat an id
+    count as copies too; rows without an id stay. Only ids that go are joined, so no text moves where they are few."""
+    found = stored(near_copies(docs, id_col, text_col).select("doc_id", "kept"), "near-copies")
+    gone = stored(found.where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "gone")
+    left = docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+                   .select(F.col("doc_id").alias("_again_id")), "again")
+    if again.isEmpty():
+        return left
+    repeated = left.join(again, left[id_col] == again["_again_id"], "left_semi").dropDuplicates([id_col])
+    return left.join(again, left[id_col] == again["_again_id"], "left_anti").unionAll(repeated)
