@@ -72,8 +72,9 @@ class Network:
         return self.head(self.pooled(chunks)[0], filled)[2]
 
     def train(self, chunks: np.ndarray, filled: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 10,
-              batch: int = 256, rate: float = 0.01, seed: int = 3) -> None:
-        """Adam on the weighted log loss of chunks."""
+              batch: int = 256, least_steps: int = 600, rate: float = 0.01, seed: int = 3) -> None:
+        """Adam on the weighted log loss of chunks, `least_steps` steps at least."""
+        rounds = max(rounds, -(-least_steps // max(1, len(chunks) // batch)))
         random, p, step = np.random.RandomState(seed), self.p, 0
         first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
         filters = p["t"].shape[2]
