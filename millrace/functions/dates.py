@@ -25,6 +25,13 @@ def local_date(ts: Column | str, zone: str = BUSINESS_ZONE, ntz_utc: bool = Fals
     return F.to_date(F.convert_timezone(source, F.lit(zone), _col(ts)))
 
 
+def day_end(day: Column | str, zone: str = BUSINESS_ZONE) -> Column:
+    """The last microsecond of a local day as an instant, whatever the session zone."""
+    following = F.date_add(_col(day), 1).cast("timestamp_ntz")
+    return (F.convert_timezone(F.lit(zone), F.current_timezone(), following).cast("timestamp")
+            - F.expr("INTERVAL '0.000001' SECOND"))
+
+
 def parse_timestamp(text: Column | str, fmt: str = WIRE_TIMESTAMP) -> Column:
     """NULL where the text does not follow the wire format."""
     return F.try_to_timestamp(_col(text), F.lit(fmt))

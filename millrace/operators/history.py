@@ -34,7 +34,7 @@ def key_changes(changes: DataFrame, old: str, new: str, order: str) -> DataFrame
     return winners(edges, ["old_key"], [F.desc(order)])
 
 
-def key_map(edges: DataFrame, old: str = "old_key", new: str = "new_key", max_hops: int = 1 << 20) -> DataFrame:
+def key_map(edges: DataFrame, old: str = "old_key", new: str = "new_key") -> DataFrame:
     """(key, latest_key, durable_key) for every id that takes part in a key change.
 
     Pointer doubling: each round joins the links with themselves and doubles the distance covered, so a chain
@@ -45,13 +45,14 @@ def key_map(edges: DataFrame, old: str = "old_key", new: str = "new_key", max_ho
     back = (edges.groupBy(F.col(new).alias("id")).agg(F.min(old).alias("to"))
             .select(F.lit("first").alias("way"), "id", "to"))
     links, covered = materialize(ahead.unionByName(back)), 1
+    longest = links.count()  # a chain has no more links than there are
     while True:
         step = links.select("way", F.col("id").alias("at"), F.col("to").alias("next"))
         joined = materialize(
             salted_join(links.withColumn("at", F.col("to")), step, ["way", "at"], "left")
             .select("way", "id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")))
         state = joined.agg(F.bool_or("moved").alias("moved"), F.bool_or(F.col("id") == F.col("to")).alias("closed")).first()
-        if state["closed"] or covered > max_hops:
+        if state["closed"] or state["moved"] and covered > longest:
             raise KeyCycleError("a key change leads back to its own start")
         links, covered = joined.drop("moved"), covered * 2
         if not state["moved"]:
@@ -101,19 +102,22 @@ def scd2(changes: DataFrame, keys: Sequence[str], order: Sequence[str], change_t
                     null_safe_hash(*attributes).alias("row_hash")))
 
 
-def complete_snapshots(snapshots: DataFrame, day: str, verified: DataFrame | None = None,
-                       min_share_pct: int = 50) -> DataFrame:
-    """Days whose snapshot may be trusted to imply deletes: a verified batch of a plausible size.
+def complete_snapshots(snapshots: DataFrame, day: str, verified: DataFrame | None = None) -> DataFrame:
+    """Days whose snapshot may be trusted to imply deletes: those of accepted batches (all without verdicts).
 
-    Compares each day's row count with the previous day's; works on one row per day.
+    A snapshot's size decides nothing; `snapshot_drops` reports days that shrank.
     """
-    counts = snapshots.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
-    if verified is not None:
-        counts = counts.join(verified.select(day).distinct(), day, "left_semi")
-    before = F.lag("_rows").over(W.orderBy(day))
-    return (counts.withColumn("_before", before)
-            .filter(F.col("_before").isNull() | (F.col("_rows") * 100 >= F.col("_before") * min_share_pct))
-            .select(day))
+    days = snapshots.select(day).distinct()
+    return days if verified is None else days.join(verified.select(day).distinct(), day, "left_semi")
+
+
+def snapshot_drops(snapshots: DataFrame, days: DataFrame, day: str, share_pct: int = 50) -> DataFrame:
+    """(day, rows, rows_before) of trusted days with less than `share_pct` of the trusted day before: for a person to
+    look at. Works on one row per day."""
+    counts = (snapshots.groupBy(day).agg(F.count(F.lit(1)).alias("rows"))
+              .join(days.select(day).distinct(), day, "left_semi"))
+    return (counts.withColumn("rows_before", F.lag("rows").over(W.orderBy(day)))
+            .filter(F.col("rows") * 100 < F.col("rows_before") * share_pct))
 
 
 def scd2_from_snapshots(snapshots: DataFrame, days: DataFrame, keys: Sequence[str], day: str,

@@ -26,14 +26,21 @@ def asof_join(facts: DataFrame, versions: DataFrame, on: Sequence[str], fact_tim
     keys with many facts and many versions cost no more than their rows. Facts without one keep NULLs.
     """
     same_time = F.lit(2) if strict else F.lit(0)
-    left = facts.select(*on, F.col(fact_time).alias("_at"), F.lit(1).alias("_side"),
+    # A fact with a NULL key has no version. Such rows may be a third of all, so they stay out of the window.
+    keyed = F.lit(True)
+    for k in on:
+        keyed = keyed & F.col(k).isNotNull()
+    kinds = {f.name: f.dataType for f in versions.select(*values).schema}
+    keyless = facts.filter(~keyed).select("*", *[F.lit(None).cast(kinds[v]).alias(v) for v in values])
+    left = facts.filter(keyed).select(*on, F.col(fact_time).alias("_at"), F.lit(1).alias("_side"),
                         F.struct(*facts.columns).alias("_fact"))
-    right = versions.filter(F.col(version_time).isNotNull()).select(
+    right = versions.filter(keyed & F.col(version_time).isNotNull()).select(
         *on, F.col(version_time).alias("_at"), same_time.alias("_side"), F.struct(*values).alias("_version"))
     stacked = left.unionByName(right, allowMissingColumns=True)
     found = OrderedGroups(stacked, on, ["_at", "_side"], max_rows).last_known("_found", F.col("_version"))
     return (found.result().filter(F.col("_side") == 1)
-            .select("_fact.*", *[F.col(f"_found.{v}").alias(v) for v in values]))
+            .select("_fact.*", *[F.col(f"_found.{v}").alias(v) for v in values])
+            .unionByName(keyless))
 
 
 def version_lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], fact_time: str, sk: str, out: str,
@@ -42,18 +49,24 @@ def version_lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], fact_tim
     """Surrogate key of the version with fact time in [valid_from, valid_to), −1 where there is none.
 
     A dimension of a counted, small size is broadcast and the facts are not moved; a larger one goes
-    through the as-of join.
+    through the as-of join. On both ways a fact meets the one version that began last at or before its time, so
+    overlapping versions never multiply facts; of versions that begin together the largest key counts.
     """
     default = F.lit(UNKNOWN_SK).cast("bigint") if default is None else default
-    versions = dim.select(*on, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), F.col(sk).alias("_sk"))
+    one = (dim.filter(F.col(valid_from).isNotNull()).groupBy(*on, F.col(valid_from).alias("_from"))
+           .agg(F.max_by(F.struct(F.col(valid_to).alias("_to"), F.col(sk).alias("_sk")),
+                         F.struct(F.col(sk))).alias("_v")))
+    versions = one.select(*on, "_from", "_v._to", "_v._sk")
     if fits_broadcast(versions, broadcast_rows):
+        spans = versions.withColumn("_next", F.lead("_from").over(W.partitionBy(*on).orderBy("_from")))
         condition = F.lit(True)
         for k in on:
             condition = condition & (F.col(f"f.{k}") == F.col(f"v.{k}"))
         at = F.col(f"f.{fact_time}")
-        condition = condition & (at >= F.col("v._from")) & (F.col("v._to").isNull() | (at < F.col("v._to")))
-        joined = (facts.alias("f").join(F.broadcast(versions).alias("v"), condition, "left")
-                  .select("f.*", F.coalesce(F.col("v._sk"), default).alias(out)))
+        condition = condition & (at >= F.col("v._from")) & (F.col("v._next").isNull() | (at < F.col("v._next")))
+        valid = F.col("v._to").isNull() | (at < F.col("v._to"))
+        joined = (facts.alias("f").join(F.broadcast(spans).alias("v"), condition, "left")
+                  .select("f.*", F.coalesce(F.when(valid, F.col("v._sk")), default).alias(out)))
         return joined
     joined = asof_join(facts, versions, on, fact_time, "_from", ["_to", "_sk"], max_rows=max_rows)
     valid = F.col("_to").isNull() | (F.col(fact_time) < F.col("_to"))

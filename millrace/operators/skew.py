@@ -93,16 +93,28 @@ class OrderedGroups:
         number = order_number(df, self.order[0])
         found = materialize(
             df.select(*self.keys, number.alias("_n")).groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min("_n").alias("_lo"), F.max("_n").alias("_hi"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
             .filter(F.col("_rows") > max_rows))
         if found.isEmpty():
             return
         self.split = True
-        pieces = F.ceil(F.col("h._rows") * 4 / F.lit(max_rows)).cast("bigint")
-        width = F.greatest(F.lit(1), F.ceil((F.col("h._hi") - F.col("h._lo") + 1) / pieces)).cast("bigint")
+        # Stretches end at quantiles of the key's own order values, so gaps and far values do not matter. All hot
+        # keys get the quantiles that the largest needs; a smaller one uses every so-many-th of them.
+        most = int(found.agg(F.max(F.ceil(F.col("_rows") * 4 / F.lit(max_rows)))).first()[0])
         numbered = df.withColumn("_n", number)
-        cut = (numbered.alias("d").join(F.broadcast(found).alias("h"), _match("d", "h", self.keys), "left")
-               .select("d.*", F.coalesce(F.floor((F.col("d._n") - F.col("h._lo")) / width), F.lit(-1))
+        hot = (numbered.alias("d").join(F.broadcast(found).alias("h"), _match("d", "h", self.keys), "left_semi")
+               .groupBy(*self.keys).agg(F.percentile_approx(
+                   "_n", [i / most for i in range(1, most)] or [0.5], max(10_000, 20 * most)).alias("_q")))
+        pieces = F.ceil(F.col("h._rows") * 4 / F.lit(max_rows)).cast("int")
+        ends = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(pieces - 1, F.lit(1))), lambda i: F.get(
+            F.col("q._q"), F.least(F.floor(i * most / pieces).cast("int") - 1, F.lit(max(most - 2, 0))))))
+        borders = materialize(found.alias("h").join(hot.alias("q"), _match("h", "q", self.keys))
+                              .select("h.*", ends.alias("_ends")))
+        # NULL order values come first, as they do in the window.
+        place = F.when(F.col("d._n").isNull(), F.lit(0)).otherwise(
+            F.size(F.filter(F.col("h._ends"), lambda e: e < F.col("d._n"))) + 1)
+        cut = (numbered.alias("d").join(F.broadcast(borders).alias("h"), _match("d", "h", self.keys), "left")
+               .select("d.*", F.when(F.col("h._rows").isNull(), F.lit(-1)).otherwise(place)
                        .cast("bigint").alias("_cut"))
                .drop("_n"))
         self.df = materialize(cut)

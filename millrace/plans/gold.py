@@ -81,9 +81,10 @@ def dim_biller(silver: Silver) -> DataFrame:
                          "bill_type", "is_active")
 
 
-def dim_invest_product(silver: Silver, min_share_pct: int = 50) -> DataFrame:
+def dim_invest_product(silver: Silver, verified: DataFrame | None = None) -> DataFrame:
+    """`verified` holds the `_batch_date` of accepted batches; Silver holds no other rows if it was built with verdicts."""
     snapshots = silver("invest_products")
-    days = history.complete_snapshots(snapshots, "_batch_date", min_share_pct=min_share_pct)
+    days = history.complete_snapshots(snapshots, "_batch_date", verified)
     versions = history.scd2_from_snapshots(snapshots, days, ["isin"], "_batch_date",
                                            ["product_name", "asset_class", "risk_level"])
     return facts.versioned_dimension(versions, "isin", "product_sk")
@@ -132,7 +133,7 @@ def fact_holding_snapshot(silver: Silver, mapping: DataFrame, customers: DataFra
     """Positions of business days; product and customer versions as of the end of the day."""
     rows = (with_durable_customer(silver("holdings"), mapping)
             .filter(dates.is_business_day("business_date"))
-            .withColumn("_end", F.col("business_date").cast("timestamp") + F.expr("INTERVAL 86399 SECONDS"))
+            .withColumn("_end", dates.day_end("business_date"))
             .withColumn("_day", F.col("business_date")))
     rows = lookups.version_lookup(rows, customers, ["customer_dk"], "_end", "customer_sk", "customer_sk")
     rows = lookups.version_lookup(rows, products, ["isin"], "_day", "product_sk", "product_sk")
@@ -167,7 +168,7 @@ def fact_credit_score_snapshot(silver: Silver, mapping: DataFrame, customers: Da
     """Month x customer; the version valid at the end of the reported month."""
     first = F.to_date(F.concat("report_month", F.lit("-01")))
     rows = (with_durable_customer(silver("credit_scores"), mapping)
-            .withColumn("_end", F.last_day(first).cast("timestamp") + F.expr("INTERVAL 86399 SECONDS"))
+            .withColumn("_end", dates.day_end(F.last_day(first)))
             .withColumn("month_index", marts.month_index(first)).withColumn("report_month_key", dates.month_key(first)))
     rows = lookups.version_lookup(rows, customers, ["customer_dk"], "_end", "customer_sk", "customer_sk")
     return rows.select("report_month_key", "customer_sk", "score", "risk_band", "open_credit_lines", "days_past_due_max",

@@ -172,7 +172,7 @@ def scd2_snapshot(spark, sf_dir):
     """Yearly snapshots of customers: a missing year is a delete, a new one a return."""
     copies = table(spark, sf_dir, "orders").groupBy("o_custkey", F.trunc("o_orderdate", "year").alias("d")).agg(
         F.max("o_orderpriority").alias("priority"))
-    days = history.complete_snapshots(copies, "d", min_share_pct=0)
+    days = history.complete_snapshots(copies, "d")
     return (history.scd2_from_snapshots(copies, days, ["o_custkey"], "d", ["priority"])
             .withColumn("valid_to", F.coalesce("valid_to", F.lit("9999-01-01").cast("date"))).drop("row_hash"))
 

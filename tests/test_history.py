@@ -73,7 +73,7 @@ def test_key_map_follows_chains_of_any_length(spark, links):
 def test_circular_key_changes_are_refused(spark, n):
     edges = spark.createDataFrame([(i, (i + 1) % n) for i in range(n)], "old_key int, new_key int")
     with pytest.raises(history.KeyCycleError):
-        history.key_map(edges, max_hops=64)
+        history.key_map(edges)
 
 
 def test_key_changes_keep_the_latest_of_repeats(spark):
@@ -88,7 +88,7 @@ def snapshots(spark, table):
 
 def test_snapshot_history(spark):
     df = snapshots(spark, {1: {"a": 1, "b": 1}, 2: {"a": 1, "b": 2}, 4: {"a": 1}, 5: {"a": 1, "b": 2}, 6: {"a": 3, "b": 2}})
-    days = history.complete_snapshots(df, "d", min_share_pct=0)
+    days = history.complete_snapshots(df, "d")
     got = sorted((r["k"], r["v"], r["valid_from"].day, r["valid_to"] and r["valid_to"].day)
                  for r in history.scd2_from_snapshots(df, days, ["k"], "d", ["v"]).collect())
     assert got == [("a", 1, 1, 6), ("a", 3, 6, None), ("b", 1, 1, 2), ("b", 2, 2, 4), ("b", 2, 5, None)]
@@ -96,11 +96,29 @@ def test_snapshot_history(spark):
 
 def test_a_broken_snapshot_deletes_nothing(spark):
     df = snapshots(spark, {1: {"a": 1, "b": 1, "c": 1}, 2: {"a": 1}, 3: {"a": 1, "b": 1, "c": 1}})
-    days = history.complete_snapshots(df, "d", min_share_pct=50)
+    verified = spark.createDataFrame([(date(2026, 9, 1),), (date(2026, 9, 3),)], "d date")
+    days = history.complete_snapshots(df, "d", verified)
     got = [(r["k"], r["valid_to"]) for r in history.scd2_from_snapshots(df, days, ["k"], "d", ["v"]).collect()]
     assert sorted(got) == [("a", None), ("b", None), ("c", None)]
-    verified = spark.createDataFrame([(date(2026, 9, 1),), (date(2026, 9, 3),)], "d date")
-    assert history.complete_snapshots(df, "d", verified, 0).count() == 2
+    assert days.count() == 2
+
+
+def test_snapshot_size_decides_nothing_and_drops_are_reported(spark):
+    full = {k: 1 for k in "abcd"}
+    df = snapshots(spark, {1: full, 2: {"a": 1}, 3: {"a": 1}})
+    every = history.complete_snapshots(df, "d")
+    assert every.count() == 3
+    assert [(r["d"].day, r["rows"], r["rows_before"]) for r in history.snapshot_drops(df, every, "d").collect()] == [(2, 1, 4)]
+    rejected = spark.createDataFrame([(date(2026, 9, 1),), (date(2026, 9, 3),)], "d date")
+    # Compared with the last trusted day: the rejected one in between does not make the third look whole.
+    assert [r["d"].day for r in history.snapshot_drops(df, rejected, "d").collect()] == [3]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 200])
+def test_a_long_chain_is_no_cycle(spark, n):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "old_key int, new_key int")
+    got = {r["key"]: (r["latest_key"], r["durable_key"]) for r in history.key_map(edges).collect()}
+    assert got == {i: (n, 0) for i in range(n + 1)}
 
 
 def test_inferred_member_is_updated_in_place(spark):
