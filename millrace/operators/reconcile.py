@@ -19,24 +19,28 @@ def stored_files(bronze: DataFrame, entity: str) -> DataFrame:
 
 
 def reconcile_files(stored: DataFrame, listing: DataFrame, run_id: str) -> DataFrame:
-    """Per entity and batch date: manifest count, rows from listed files, rows from other files, OK or MISMATCH.
+    """Per entity and batch date: manifest count, rows from listed files, rows from other files, and the status: OK,
+    MISMATCH, or BAD_MANIFEST where a delivered manifest could not be read.
 
     One full join of files found and files listed, then one aggregate: both sides hold one row per file.
     Missing counts are 0. A file counts as often as it is listed.
     """
     keys = ["entity", "batch_date", "file_name"]
+    readable = F.col("readable") if "readable" in listing.columns else F.lit(True)
     listed = (listing.withColumnRenamed("business_date", "batch_date").groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("times_listed"), F.max("record_count").alias("record_count")))
+              .agg(F.count(F.lit(1)).alias("times_listed"), F.max("record_count").alias("record_count"),
+                   F.bool_and(readable).alias("readable")))
     zero = F.lit(0).cast("bigint")
     in_list = F.col("rows") * F.col("times_listed")
     not_in_list = F.when(F.col("times_listed").isNull(), F.col("rows"))
     counts = stored.join(listed, keys, "full_outer").groupBy("entity", "batch_date").agg(
         F.coalesce(F.max("record_count"), zero).alias("manifest_records"),
         F.coalesce(F.sum(in_list), zero).alias("bronze_records"),
-        F.coalesce(F.sum(not_in_list), zero).alias("unlisted_records"))
+        F.coalesce(F.sum(not_in_list), zero).alias("unlisted_records"),
+        F.coalesce(F.bool_and("readable"), F.lit(True)).alias("_readable"))
     matches = F.col("manifest_records") == F.col("bronze_records")
-    return counts.withColumns({"status": F.when(matches, "OK").otherwise("MISMATCH"),
-                               "run_id": F.lit(run_id), "checked_at": F.now()})
+    status = F.when(~F.col("_readable"), "BAD_MANIFEST").when(matches, "OK").otherwise("MISMATCH")
+    return counts.withColumn("status", status).drop("_readable").withColumns({"run_id": F.lit(run_id), "checked_at": F.now()})
 
 
 def reconcile(bronze: DataFrame, listing: DataFrame, entity: str, run_id: str) -> DataFrame:

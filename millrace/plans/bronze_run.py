@@ -32,7 +32,7 @@ def ingest_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed] =
     """All new files of every feed that has delivered anything. Feeds are independent streams and overlap."""
     report = RunReport(run_id or str(uuid.uuid4()))
     source = landing_root or lake.landing
-    present = [f for f in feeds if exists(spark, f"{source}/{f.landing_subpath}")]
+    present = [f for f in feeds if exists(spark, f.under(source))]
     report.skipped = [f.entity for f in feeds if f not in present]
 
     def one(feed: Feed) -> None:
@@ -56,7 +56,7 @@ def reconcile_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed
     """All feeds in one plan: the union of their file counts against one reading of all manifests."""
     stored = reduce(DataFrame.unionByName, [checks.stored_files(read_bronze(spark, lake, f), f.entity) for f in feeds])
     listing = manifests.manifest_listing(manifests.read_manifests(spark, landing_root or lake.landing))
-    wanted = listing.filter(F.concat_ws("/", "source", "entity").isin([f.landing_subpath for f in feeds]))
+    wanted = listing.filter(F.concat_ws("/", F.lit(""), "source", "entity").isin([f.under("") for f in feeds]))
     return checks.reconcile_files(stored, wanted, run_id)
 
 

@@ -1,6 +1,6 @@
 """Writes batches into a landing area as the delivery contract defines them.
 
-One folder per feed and business date, `part-NNNN.jsonl` files, the manifest last. A day's rows are hashed
+One folder per feed and business date, `part-<attempt>-<number>.jsonl` files, the manifest last. A day's rows are hashed
 over as many files as its size asks for, so no file and no task grows with the day.
 """
 from __future__ import annotations
@@ -36,14 +36,14 @@ def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: i
                 rows_per_file: int = 2_000_000, order: str | None = None) -> DataFrame:
     """`rows`: (business_date, line, ...). Returns one row per written file: name, count, sha256.
 
-    Attempt a numbers its files from a*1000+1. The content of a file is fixed by the data, so a retried task
+    A file's name holds the attempt and its number, so no attempt meets the files of another. The content of a file is fixed by the data, so a retried task
     writes the same bytes under the same name. `order` should be unique per row: equal lines then spread over
     the day's files instead of sharing one.
     """
     order = order or "line"
     sizes = rows.groupBy("business_date").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_files"))
-    part = F.pmod(F.xxhash64(*dict.fromkeys([order, "line"])), F.col("_files")).cast("int") + 1 + attempt * 1000
+    part = F.pmod(F.xxhash64(*dict.fromkeys([order, "line"])), F.col("_files")).cast("int") + 1
     placed = (rows.join(sizes, "business_date").withColumn("_part", part)
               .select("business_date", "_part", *dict.fromkeys([order, "line"])))
     arranged = (placed.repartition("business_date", "_part")
@@ -58,14 +58,14 @@ def write_files(rows: DataFrame, root: str, source: str, entity: str, attempt: i
         def close():
             if stream is not None:
                 stream.close()
-                done.append((current[0], f"part-{current[1]:04d}.jsonl", count, sha.hexdigest(), target))
+                done.append((current[0], f"part-{attempt:02d}-{current[1]:06d}.jsonl", count, sha.hexdigest(), target))
 
         for batch in batches:
             for key, lines in batch.groupby(["business_date", "_part"], sort=False)["line"]:
                 if key != current:
                     close()
                     current, sha, count = key, hashlib.sha256(), 0
-                    target, stream = open_stream(root, source, entity, key[0], f"part-{key[1]:04d}.jsonl")
+                    target, stream = open_stream(root, source, entity, key[0], f"part-{attempt:02d}-{key[1]:06d}.jsonl")
                 block = ("\n".join(lines) + "\n").encode("utf-8")
                 stream.write(block)
                 sha.update(block)

@@ -70,7 +70,7 @@ def read_texts(paths: DataFrame) -> DataFrame:
             for uri in batch["path"]:
                 filesystem, path = locate(uri)
                 with filesystem.open_input_stream(path) as stream:
-                    texts.append(stream.read().decode("utf-8"))
+                    texts.append(stream.read().decode("utf-8", "replace"))
             yield pd.DataFrame({"path": batch["path"], "text": texts})
     return paths.select("path").mapInPandas(read, "path string, text string")
 

@@ -20,15 +20,23 @@ MANIFEST_SCHEMA = (
 def read_manifests(spark: SparkSession, landing_root: str, feed: Feed | None = None) -> DataFrame:
     """Every delivered manifest below the root (of one feed), with its folder and business_date as DATE.
 
-    Folders named with a leading underscore hold late or faulty material and are not deliveries.
+    Folders named with a leading underscore hold late or faulty material and are not deliveries. A document that does
+    not say which batch it announces, or how many records, is not `readable`; its batch is told by its path.
     """
-    scope = feed.landing_subpath if feed else "[!_]*/[!_]*"
-    paths = files.glob_paths(spark, f"{landing_root}/{scope}/*/*/*/{MANIFEST_NAME}")
-    return (files.read_texts(paths)
+    scope = feed.under(landing_root) if feed else f"{landing_root}/[!_]*/[!_]*"
+    paths = files.glob_paths(spark, f"{scope}/*/*/*/{MANIFEST_NAME}")
+    told = (files.read_texts(paths)
             .select(F.regexp_replace("path", "/[^/]+$", "").alias("folder"),
                     F.from_json("text", MANIFEST_SCHEMA).alias("m"))
             .select("folder", "m.*")
-            .withColumn("business_date", F.try_to_date("business_date")))
+            .withColumn("business_date", F.try_to_date("business_date"))
+            .withColumn("readable", F.col("business_date").isNotNull() & F.col("source").isNotNull()
+                        & F.col("entity").isNotNull() & F.col("record_count").isNotNull()))
+    place = F.split("folder", "/")
+    return (told.withColumn("source", F.coalesce("source", F.try_element_at(place, F.lit(-5))))
+            .withColumn("entity", F.coalesce("entity", F.try_element_at(place, F.lit(-4))))
+            .withColumn("business_date", F.coalesce("business_date", F.try_to_date(F.regexp_extract(
+                "folder", r"(\d{4}/\d{2}/\d{2})$", 1), "yyyy/MM/dd"))))
 
 
 def manifest_rows(manifests: DataFrame) -> DataFrame:
@@ -38,9 +46,10 @@ def manifest_rows(manifests: DataFrame) -> DataFrame:
 
 def manifest_listing(manifests: DataFrame) -> DataFrame:
     """One row per listed file; a manifest that lists none keeps one row with NULL file columns."""
-    return (manifests.select("source", "entity", "business_date", "record_count", "folder",
-                             F.explode_outer("files").alias("f"))
-            .select("source", "entity", "business_date", "record_count", "folder",
+    head = ["source", "entity", "business_date", "record_count", "folder",
+            *[c for c in ("readable",) if c in manifests.columns]]
+    return (manifests.select(*head, F.explode_outer("files").alias("f"))
+            .select(*head,
                     F.col("f.name").alias("file_name"), F.col("f.records").alias("file_records"),
                     F.col("f.sha256").alias("sha256")))
 

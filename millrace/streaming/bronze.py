@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.registry import Feed
 from millrace.sources import tables
@@ -13,7 +14,7 @@ DATA_FILES = "*.jsonl"
 BATCH_DATE_PATTERN = r"/(\d{4}/\d{2}/\d{2})/[^/]+$"
 LINEAGE = {"_source_file": "string", "_file_modification_time": "timestamp", "_batch_date": "date",
            "_ingest_ts": "timestamp", "_run_id": "string"}
-MAX_NEW_COLUMNS = 200
+COLUMN_LOG = "column_name string, discovered_in string"
 MAX_BATCH_BYTES = 512 * 1024 ** 3
 
 
@@ -25,7 +26,7 @@ def read_landing(spark: SparkSession, landing_root: str, feed: Feed,
             .option("pathGlobFilter", DATA_FILES)
             .option("maxFileAge", "36500d")
             .option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-            .load(f"{landing_root}/{feed.landing_subpath}/"))
+            .load(feed.under(landing_root) + "/"))
 
 
 def batch_date(path: Column | str) -> Column:
@@ -70,22 +71,31 @@ def project_fields(parsed: DataFrame, columns: list[str]) -> DataFrame:
         *lineage)
 
 
+def column_log(lake: tables.Lake, feed: Feed) -> str:
+    """A folder of its own for every feed, as feeds that run side by side append to it."""
+    return feed.under(lake.path("ops", "bronze_columns"))
+
+
 def known_columns(spark: SparkSession, lake: tables.Lake, feed: Feed) -> list[str]:
     """Contract columns plus those discovered by earlier runs, in order of discovery."""
-    path = lake.path("ops", "bronze_columns")
+    path = column_log(lake, feed)
     columns = list(feed.columns)
     if exists(spark, path):
-        found = (spark.read.parquet(path).filter(F.col("entity") == feed.entity)
+        found = (spark.read.schema(COLUMN_LOG).parquet(path)
                  .groupBy("column_name").agg(F.min("discovered_in").alias("first"))
-                 .orderBy("first", "column_name").limit(10 * MAX_NEW_COLUMNS).collect())
-        columns += [r["column_name"] for r in found if r["column_name"] not in columns]
+                 .orderBy("first", "column_name").collect())
+        taken = {c.lower() for c in columns}
+        columns += [r["column_name"] for r in found if r["column_name"].lower() not in taken]
     return columns
 
 
 def _discover(spark: SparkSession, lake: tables.Lake, feed: Feed, batch_id: int) -> bool:
     """Logs unexpected field names a micro-batch left in `_rescued_data`. TRUE when columns were added.
 
-    Reads one column of the files the micro-batch wrote, with a given schema and no footer pass.
+    Reads one column of the files the micro-batch wrote, with a given schema and no footer pass. All names are
+    taken, however many; a table's columns do not differ in case alone, so of names that do the one met most
+    often becomes the column and its twins stay in `_rescued_data`, as do blank names and those that
+    begin with an underscore.
     """
     target = lake.path("bronze", feed.entity)
     pattern = f"{target}/*/_ingest_batch={batch_id}"
@@ -94,14 +104,16 @@ def _discover(spark: SparkSession, lake: tables.Lake, feed: Feed, batch_id: int)
     rescued = spark.read.schema("_rescued_data string").parquet(pattern).filter(F.col("_rescued_data").isNotNull())
     names = (rescued.select(F.explode(F.json_object_keys("_rescued_data")).alias("column_name"))
              .groupBy("column_name").count()
-             .filter(~F.col("column_name").startswith("_"))
-             .orderBy(F.desc("count"), "column_name").limit(MAX_NEW_COLUMNS)
-             .select(F.lit(feed.entity).alias("entity"), "column_name",
-                     F.lit(f"{batch_id:012d}").alias("discovered_in")))
-    rows = names.collect()
+             .filter(~F.col("column_name").startswith("_") & (F.trim("column_name") != ""))
+             .orderBy(F.desc("count"), "column_name"))
+    taken = {c.lower() for c in known_columns(spark, lake, feed)}
+    rows = []
+    for row in names.collect():
+        if row["column_name"].lower() not in taken:
+            taken.add(row["column_name"].lower())
+            rows.append((row["column_name"], f"{batch_id:012d}"))
     if rows:
-        spark.createDataFrame(rows, names.schema).coalesce(1).write.mode("append").parquet(
-            lake.path("ops", "bronze_columns"))
+        spark.createDataFrame(rows, COLUMN_LOG).coalesce(1).write.mode("append").parquet(column_log(lake, feed))
     return bool(rows)
 
 
@@ -141,5 +153,6 @@ def ingest(spark: SparkSession, lake: tables.Lake, feed: Feed, run_id: str, evol
 def read_bronze(spark: SparkSession, lake: tables.Lake, feed: Feed) -> DataFrame:
     """The table under the schema its column log gives: no file footer is read to find it out."""
     names = [*known_columns(spark, lake, feed), "_rescued_data", "_raw"]
-    fields = [*[f"`{n}` string" for n in names], *[f"`{n}` {t}" for n, t in LINEAGE.items()], "_ingest_batch bigint"]
-    return spark.read.schema(", ".join(fields)).parquet(lake.path("bronze", feed.entity))
+    lineage = spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in LINEAGE.items()) + ", _ingest_batch bigint")
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], *lineage.schema])
+    return spark.read.schema(schema).parquet(lake.path("bronze", feed.entity))

@@ -8,6 +8,8 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal, InvalidOperation
 from zoneinfo import ZoneInfo
 
+import pandas as pd
+
 from millrace.registry import BY_ENTITY
 
 START = date(2026, 9, 14)          # a Monday
@@ -21,20 +23,23 @@ def to_line(row) -> str:
     return row if isinstance(row, str) else json.dumps(row, ensure_ascii=False, separators=(",", ":"))
 
 
-def totals_of(feed, rows):
-    if feed.amount is None:
+def number(text):
+    try:
+        return Decimal(str(text))
+    except InvalidOperation:
+        return None
+
+
+def announced_totals(feed, rows):
+    """What a sender would announce: the feed's amounts by currency, from the rows that are objects."""
+    if not feed.amount:
         return None
-    sums = {}
-    for row in rows:
-        if isinstance(row, str):
-            continue
-        try:
-            value = Decimal(str(row.get(feed.amount)))
-        except InvalidOperation:
-            continue
-        name = str(row.get(feed.currency)) if feed.currency else "ALL"
-        sums[name] = sums.get(name, Decimal(0)) + value
-    return {k: str(v.quantize(Decimal("0.01"))) for k, v in sums.items()}
+    table = pd.DataFrame([r for r in rows if isinstance(r, dict)], dtype=object)
+    if feed.amount not in table:
+        return {}
+    names = table[feed.currency].map(str) if feed.currency in table else pd.Series("ALL", table.index)
+    sums = table[feed.amount].map(number).dropna().groupby(names).sum()
+    return {name: f"{total:.2f}" for name, total in sums.items()}
 
 
 def put_file(root, feed, day, rows, part=1):
@@ -50,7 +55,7 @@ def put_file(root, feed, day, rows, part=1):
 def put_manifest(root, feed, day, files, rows, **changes):
     document = {"schema_version": "1.0", "source": feed.source, "entity": feed.entity, "business_date": day.isoformat(),
                 "files": files, "record_count": len(rows), "amount_field": feed.amount, "currency_field": feed.currency,
-                "amount_totals": totals_of(feed, rows), "generated_at": f"{day + timedelta(days=1)}T00:30:00Z", **changes}
+                "amount_totals": announced_totals(feed, rows), "generated_at": f"{day + timedelta(days=1)}T00:30:00Z", **changes}
     with open(os.path.join(folder(root, feed, day), "_manifest.json"), "w", encoding="utf-8") as f:
         json.dump(document, f)
 

@@ -27,14 +27,14 @@ def reconciled(spark, lake):
 
 
 def test_registry_is_complete_and_unique(spark):
-    assert len(FEEDS) == 12 == len({f.bronze_table for f in FEEDS})
+    assert len(FEEDS) == 12 == len({f.under('') for f in FEEDS})
     assert {f.source for f in FEEDS} == set(SOURCE_ORDER)
     assert feed_table(spark).count() == 12
     assert all(set(f.keys) <= set(f.columns) for f in FEEDS)
     assert all(c in contract_columns(BY_ENTITY[e], "9") for e, cs in DOMAINS.items() for c in cs)
     assert "device_type" not in contract_columns(TXN, "1.0") and "device_type" in contract_columns(TXN, "1.1")
     assert set(ADDED_FIELDS) == {("transactions", "1.1")}
-    assert BY_ENTITY["fx_rates"].landing_subpath == "reference/fx_rates"
+    assert BY_ENTITY["fx_rates"].under("/l/") == "/l/reference/fx_rates"
 
 
 @pytest.mark.parametrize("path,expected", [
@@ -263,6 +263,63 @@ def test_delivery_spreads_equal_lines_over_bounded_files(spark, lake):
     rows = spark.range(1000).select(F.lit(D0).alias("business_date"), F.lit('{"a":1}').alias("line"), "id")
     written = delivery.write_files(rows, lake.landing, TXN.source, TXN.entity, rows_per_file=100, order="id").collect()
     assert sum(r["records"] for r in written) == 1000 and len(written) == 10 and max(r["records"] for r in written) < 200
-    assert {r["file_name"] for r in written} == {f"part-{i:04d}.jsonl" for i in range(1, 11)}
+    assert {r["file_name"] for r in written} == {f"part-00-{i:06d}.jsonl" for i in range(1, 11)}
     found = {r["path"]: r["sha256"] for r in files.digests(spark.createDataFrame([(r["path"],) for r in written], "path string")).collect()}
     assert found == {r["path"]: r["sha256"] for r in written}
+
+
+def test_attempts_of_many_files_do_not_meet(spark, lake):
+    from millrace.sources import delivery
+
+    rows = spark.range(2400).select(F.lit(D0).alias("business_date"), F.concat(F.lit("{"), "id").alias("line"), "id")
+    paths = set()
+    for attempt in (0, 1):
+        paths |= {r["path"] for r in delivery.write_files(rows, lake.landing, TXN.source, TXN.entity, attempt,
+                                                          rows_per_file=2, order="id").collect()}
+    assert spark.read.text(sorted(paths)[0].rsplit("/", 1)[0]).count() == 4800 and len(paths) > 2000
+
+
+def test_all_new_fields_become_columns(spark, lake):
+    extra = {f"extra_{i:04d}": i for i in range(2_300)}
+    bank.deliver(lake.landing, "transactions", D0, [bank.txn(D0, 1, **extra), bank.txn(D0, 2)])
+    rows = ingest(spark, lake)
+    assert set(extra) <= set(rows.columns)
+    assert rows.filter("_rescued_data is not null").count() == 0
+    assert rows.filter("extra_2299 = '2299' and extra_0000 = '0'").count() == 1
+
+
+def test_names_that_differ_in_case_and_odd_names(spark, lake):
+    odd = {"a`b": 1, "a.b": 2, "a b": 3, 'q"uote': 4, "käse": 5, "x,y;z={}()": 6, "": 7, " ": 8, "_own": 9}
+    first = [bank.txn(D0, 1, Ref="r1", ref="r2", **odd), bank.txn(D0, 2, ref="r3", AMOUNT="other")]
+    bank.deliver(lake.landing, "transactions", D0, first)
+    rows = ingest(spark, lake).orderBy("transaction_id").collect()
+    bank.deliver(lake.landing, "transactions", D1, [bank.txn(D1, 3, REF="r4")])
+    again = ingest(spark, lake).filter(F.col("_batch_date") == D1).first()
+    assert [r["ref"] for r in rows] == ["r2", "r3"] and again["ref"] is None
+    kept = [json.loads(r["_rescued_data"]) for r in rows]
+    assert kept[0] == {"Ref": "r1", "": "7", " ": "8", "_own": "9"} and kept[1] == {"AMOUNT": "other"}
+    assert json.loads(again["_rescued_data"]) == {"REF": "r4"}
+    assert {k: rows[0][k] for k in list(odd)[:6]} == {k: str(v) for k, v in list(odd.items())[:6]}
+
+
+def test_feeds_that_meet_new_fields_together(spark, lake):
+    own = ["transactions", "customers", "accounts", "merchants"]
+    for name in own:
+        bank.deliver(lake.landing, name, D0, [{**{k: "1" for k in BY_ENTITY[name].keys}, f"new_{name}": "x"}])
+    report = bronze_run.ingest_feeds(spark, lake, [BY_ENTITY[n] for n in own], parallel=4)
+    assert sorted(report.ingested) == sorted(own)
+    for name in own:
+        assert bronze.read_bronze(spark, lake, BY_ENTITY[name]).first()[f"new_{name}"] == "x"
+
+
+@pytest.mark.parametrize("text", ['{"source": "payments", "entity": "tran', "", "[]", "\udcff\udcfe"])
+def test_a_manifest_that_cannot_be_read_is_no_match(spark, lake, text):
+    bank.deliver(lake.landing, "transactions", D0, bank.transactions(D0))
+    bank.deliver(lake.landing, "transactions", D1, bank.transactions(D1))
+    with open(os.path.join(bank.folder(lake.landing, TXN, D0), "_manifest.json"), "wb") as f:
+        f.write(text.encode("utf-8", "surrogateescape"))
+    ingest(spark, lake)
+    got = reconciled(spark, lake)
+    assert (got[D0]["status"], got[D1]["status"]) == ("BAD_MANIFEST", "OK")
+    with pytest.raises(reconcile.ReconciliationError):
+        reconcile.enforce_gate(bronze_run.reconcile_feeds(spark, lake, [TXN], "r"))
