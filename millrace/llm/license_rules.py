@@ -66,9 +66,9 @@ RULES = """
 90 lgpl-2.1 | identifier lgpl 2 1 | spdx license identifier lgpl 2 1(?: only| or later)?
 90 lgpl-3.0 | identifier lgpl 3 0 | spdx license identifier lgpl 3 0(?: only| or later)?
 90 lgpl-2.0 | identifier lgpl 2 0 | spdx license identifier lgpl 2 0(?: only| or later)?
-80 lgpl-2.1 | lesser general public license | lesser general public license(?: as published by the free software foundation)? (?:version |v)2 1
-80 lgpl-3.0 | lesser general public license | lesser general public license(?: as published by the free software foundation)? (?:version |v)3
-80 lgpl-2.0 | library general public license | library general public license(?: version| v)? ?2
+80 lgpl-2.1 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)? (?:version |v)2 1
+80 lgpl-3.0 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)? (?:version |v)3
+80 lgpl-2.0 | library general public license | (?:gnu )?library general public license(?: version| v)? ?2
 76 lgpl | lesser general public | (?:gnu )?lesser general public (?:license|licence)
 76 lgpl | library general public | (?:gnu )?library general public (?:license|licence)
 62 lgpl-2.1 | lgpl | lgpl(?: version| v)? ?v?2 1
