@@ -25,6 +25,11 @@ def typed(column: str, target: str) -> Column:
         return dates.parse_date_or_instant(text)
     if target == "decimal(18,2)":
         return money.parse_money(text)
+    if target.startswith("decimal("):
+        # More digits than the type has are no value: a cast would round them away.
+        scale = int(target.rstrip(")").split(",")[1])
+        fits = text.rlike(rf"^-?\d+(\.\d{{1,{scale}}})?$" if scale else r"^-?\d+$")
+        return F.when(fits, text.try_cast(target))
     return text.try_cast(target)
 
 

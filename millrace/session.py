@@ -28,11 +28,15 @@ def build(app_name: str = "millrace", master: str | None = None, **extra: str) -
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only where the setting is absent (a laptop or a test) is a temporary folder made. The context's
+    Only where the setting is absent and everything runs in one process (a laptop or a test) is a temporary folder
+    made; on a cluster executors would not see it, so there the setting must be given. The context's
     checkpoint directory is pointed at the same place, so `checkpoint()` survives lost executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

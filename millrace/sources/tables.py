@@ -64,11 +64,9 @@ def replace_range(df: DataFrame, path: str, partition: str, touched: set[str]) -
     spark = df.sparkSession
 
     def contents() -> dict[str, set[str]]:
-        found: dict[str, set[str]] = {}
-        for file in files.list_files(spark, f"{path}/{partition}=*/part-*"):
-            folder, name = file.rsplit("/", 1)
-            found.setdefault(folder.rsplit("=", 1)[1], set()).add(name)
-        return found
+        listed = {value: {f.rsplit("/", 1)[1] for f in files.list_files(spark, f"{path}/{partition}={value}/part-*")}
+                  for value in touched}  # only the partitions at stake, however large the table
+        return {value: names for value, names in listed.items() if names}
 
     before = contents()
     replace_partitions(df, path, [partition])
