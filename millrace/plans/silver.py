@@ -73,7 +73,8 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     """Typed, ruled, quarantined and deduplicated rows of the range, written as whole partitions.
 
     Every date of the range is computed from Bronze again, so late, repeated and corrected deliveries end in
-    the table an in-order delivery would have produced. Both tables are partitioned by batch date.
+    the table an in-order delivery would have produced, however the dates are dealt to calls. All tables are
+    partitioned by batch date.
     """
     accepted = accepted_files(spark, lake, feed, start, end, verdicts)
     days = batch_dates(accepted)
@@ -82,8 +83,40 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     bad = judged.filter(F.col("reason").isNotNull())
     tables.replace_range(bad, lake.path("silver", f"quarantine/{feed.entity}"), "_batch_date", touched)
     good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
-    best = clean.winners(good, unique_key(feed), clean.delivery_order(good))
-    tables.replace_range(best, lake.path("silver", feed.entity), "_batch_date", touched)
+    key, target = unique_key(feed), lake.path("silver", feed.entity)
+    if "_batch_date" in key:  # a date's rows have no rivals in other dates
+        best = clean.winners(good, key, clean.delivery_order(good))
+        tables.replace_range(best, target, "_batch_date", touched)
+    else:
+        across_dates(spark, lake, feed, good, key, touched, version)
+
+
+def across_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, good: DataFrame, key: list[str], touched: set[str],
+                 version: str) -> None:
+    """Silver holds the winner of each key over all dates, whatever was built when.
+
+    Every good row stays in `silver/candidates`. Keys that the touched dates held or hold now meet their rivals in other
+    dates there; dates of rivals are rewritten too, all other keys in them as they are.
+    """
+    target, store = lake.path("silver", feed.entity), lake.path("silver", f"candidates/{feed.entity}")
+    fields = ", ".join(f"`{c}` {t}" for c, t in silver_columns(feed, version).items())
+    inside = F.col("_batch_date").cast("string").isin(sorted(touched))
+    now = tables.staged(good)
+    if not tables.table_exists(spark, store):
+        tables.replace_range(now, store, "_batch_date", touched)
+        tables.replace_range(clean.winners(now, key, clean.delivery_order(now)), target, "_batch_date", touched)
+        return
+    held = spark.read.schema(fields).parquet(store)
+    keys = tables.staged(now.select(*key).unionByName(held.filter(inside).select(*key)).distinct())
+    rivals = tables.staged(held.filter(~inside).join(keys, key, "left_semi"))
+    dates = {str(r["_batch_date"]) for r in rivals.select("_batch_date").distinct().collect()}
+    rows = now.unionByName(rivals)
+    best = clean.winners(rows, key, clean.delivery_order(rows))
+    if dates:
+        others = read_silver(spark, lake, feed, version).filter(F.col("_batch_date").cast("string").isin(sorted(dates)))
+        best = tables.staged(best.unionByName(others.join(keys, key, "left_anti").select(*best.columns)))
+    tables.replace_range(now, store, "_batch_date", touched)
+    tables.replace_range(best, target, "_batch_date", touched | dates)
 
 
 def rebuild_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, dates: DataFrame, **options) -> None:

@@ -85,9 +85,13 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """`df` written aside in the shared folder and read back, so that Spark knows its size."""
+    path = new_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage_then_replace(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """For plans that read the table they replace: write aside first, then swap the partitions."""
-    spark = df.sparkSession
-    staged = new_folder(spark, "stage")
-    df.write.parquet(staged)
-    replace_partitions(spark.read.parquet(staged), path, partition_by)
+    replace_partitions(staged(df), path, partition_by)
