@@ -82,12 +82,12 @@ class Quantiser:
         return far - far[np.arange(len(x)), home][:, None] <= 2 * gap * (radius + SLACK)
 
     def distances(self, x: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances from every query to every code of one list, from tables."""
-        rest, out = x - self.centres[centre], np.zeros((len(x), len(codes)), np.float32)
+        """Squared distances from every code of one list (rows) to every query, from tables: a code picks a row."""
+        rest, out = x - self.centres[centre], np.zeros((len(codes), len(x)), np.float32)
         for k, (a, b) in enumerate(self.spans):
             part, words = rest[:, a:b], self.words[k]
-            table = (part ** 2).sum(1)[:, None] + (words ** 2).sum(1)[None, :] - 2 * part @ words.T
-            out += table.astype(np.float32)[:, codes[:, k]]
+            table = (words ** 2).sum(1)[:, None] + (part ** 2).sum(1)[None, :] - 2 * words @ part.T
+            out += table.astype(np.float32).take(codes[:, k], axis=0)
         return out
 
 
@@ -239,9 +239,9 @@ def _linked(reps: DataFrame, known, least: float, block: int) -> DataFrame:
             reach = ((radius + error + SLACK) ** 2).astype(np.float32)
             a, b, sums = [], [], np.zeros(len(left), np.int64)
             for start in range(0, len(left), 256):
-                near = model.distances(x[start:start + 256], centre, codes) <= reach[None, :]
-                near &= ids[start:start + 256, None] != stored_ids[None, :]
-                q, s = np.nonzero(near)
+                s, q = np.nonzero(model.distances(x[start:start + 256], centre, codes) <= reach[:, None])
+                other = ids[start + q] != stored_ids[s]
+                q, s = q[other], s[other]
                 for cut in range(0, len(q), 1 << 16):
                     qs, ss = q[cut:cut + (1 << 16)] + start, s[cut:cut + (1 << 16)]
                     cosine = np.einsum("ij,ij->i", u[qs], v[ss]) / (nu[qs] * nv[ss])
