@@ -40,7 +40,7 @@ class Pairs(dict):
         self.apart = apart
 
     def __missing__(self, key):
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         value = self[key] = self.apart(key >> 20, key & 0xFFFFF)
         return value
@@ -49,7 +49,7 @@ class Pairs(dict):
 class Codec:
     """Encoder and decoder of a word vocabulary whose tokens at a word's end carry `</w>`."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 150_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = dict(spec["model"]["vocab"])

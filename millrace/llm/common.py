@@ -72,6 +72,7 @@ def map_arrow(df: DataFrame, columns: list[str], make, schema: str, limit: int =
             for part in by_bytes(batch, batch.num_columns - 1, limit):
                 results = work(*[c.to_pylist() for c in part.columns])
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(results, arrow)], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.select(*[F.col(c) for c in columns]).mapInArrow(run, out)
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep_rows, map_arrow, ship, stored
+from millrace.llm.common import by_bytes, keep_rows, map_arrow, ship, stored
 from millrace.llm.labelled import held_out, sample
 
 #: Letters of other scripts that look like Latin ones, and what they look like. Fixed values.
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 16
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
 
     def count(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_bytes(whole, 1, 1 << 22)):
             seen = (Counter(), Counter())
             for y, text in zip(*[c.to_pylist() for c in batch.columns]):
                 seen[y].update(terms_of(fold(text)))
