@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, map_arrow, ship
+from millrace.llm.bpe_prefix import COMMON, ODD
+from millrace.llm.common import map_arrow, ship
 
 MAGIC = b"MRB1"
 LONGEST = 16
@@ -140,44 +141,86 @@ def unpack(book: Book, data: bytes):
         at += length + 1  # the line feed
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """The id, n_tokens and ids (little-endian, 2 bytes each) of every text by the file's library.
+class Encoder:
+    """Ids of texts by the file's library, as little-endian bytes, two an id.
 
     A text is cut at blanks and line feeds, which the vocabulary drops: no token and no special token holds one, and
-    normalisation does not reach across them. Ids of short pieces are remembered. Null texts count as empty.
+    normalisation does not reach across them. Parts are cut again into the words that the vocabulary's pre-tokenizer
+    makes, where a text holds only ASCII and composed Latin-1 letters and opens no special token; other parts go to the
+    library as they are. Ids of parts and words are remembered, `most` of each; new ones go to the library together.
     """
+
+    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        if self.library.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of two bytes do not hold this vocabulary")
+        self.most, self.longest = most, longest
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def by_library(self, pieces: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e)}H", *e.ids)
+                for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain, odd = [], []
+        for text in texts:
+            own = "<|" in text or ODD.search(text) is not None
+            cut = (text if own else text.lower()).replace("\n", " ").split(" ")
+            plain.append(None if own else cut)
+            odd.append(cut if own else None)
+        parts, words = self.parts, self.words
+        lack = list({p for cut in plain if cut for p in cut if p not in parts})
+        if len(parts) + len(lack) > self.most:
+            parts.clear()
+            lack = list({p for cut in plain if cut for p in cut})
+        split = [COMMON.findall(p) for p in lack]
+        new = list({w for own in split for w in own if w not in words})
+        if len(words) + len(new) > self.most:
+            words.clear()
+            new = list({w for own in split for w in own})
+        words.update(zip(new, self.by_library(new)))
+        parts.update((p, b"".join([words[w] for w in own])) for p, own in zip(lack, split))
+        strange = list({p for cut in odd if cut for p in cut})
+        strange = dict(zip(strange, self.by_library(strange)))
+        out = [b"".join(map((parts if p is not None else strange).__getitem__, p if p is not None else o))
+               for p, o in zip(plain, odd)]
+        for known in (parts, words):  # what is long is not kept
+            for key in [k for k in (lack if known is parts else new) if len(k) > self.longest]:
+                known.pop(key, None)
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder a process."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def encode(docs: DataFrame, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian, 2 bytes each) of every text, `end_id` after each. Null texts count as
+    empty; null and repeated ids of documents keep their rows; other columns are not read."""
     def make():
-        ids_of = _library(tokenizer)
-        end = b"" if end_id is None else struct.pack("<H", end_id)
+        own, end = encoder(tokenizer), b"" if end_id is None else struct.pack("<H", end_id)
 
         def work(keys, texts):
-            made = [b"".join([ids_of[p] for p in (t or "").replace("\n", " ").split(" ")]) + end for t in texts]
+            made = [ids + end for ids in own.encode([t or "" for t in texts])]
             return keys, [len(m) // 2 for m in made], made
         return work
 
     return map_arrow(docs, [id_col, text_col], make, "doc_id long, n_tokens long, ids binary")
 
 
-_LIBRARIES: dict = {}
-
-
-def _library(path: str):
-    """Ids of a piece as bytes, remembered; one a process."""
-    if path not in _LIBRARIES:
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library = Tokenizer.from_file(path)
-        library.no_truncation()
-        library.no_padding()
-        if library.get_vocab_size() > 1 << 16:
-            raise ValueError("ids of two bytes do not hold this vocabulary")
-        _LIBRARIES[path] = Memo(
-            lambda p: np.array(library.encode(p, add_special_tokens=False).ids, "<u2").tobytes(), 700_000)
-    return _LIBRARIES[path]
-
-
 def counts(encoded: DataFrame) -> dict[int, int]:
     """How often each id occurs in all documents. One row per task and id is shuffled; the driver gets one per id, so
     at most as many as the vocabulary has."""
