@@ -7,8 +7,11 @@
 3. Every representative meets the smallest one of each of its bands. Pairs whose sketches are far from `least` go;
    the others are confirmed on the full sets. What is confirmed joins representatives into components.
 4. A band whose other members lie in several components may hide links that its smallest member does not show.
-   Its members are compared with each other in blocks of bounded size, sketch against sketch inside the task. Only
-   pairs between components that pass leave it; they are confirmed in the same way.
+   Its members are compared with each other in blocks of bounded size, sketch against sketch inside the task. First
+   only the closest partner of each member leaves it and is confirmed, until that joins nothing more: in a group of
+   copies this finds the text they were made from. Then the blocks get the full sets as well, and all pairs between what
+   are still several components are confirmed inside the task, each in the first band that it shares; only a spanning
+   forest of the links leaves it.
 
 A pair at the threshold shares no band with probability (1 - 0.75^rows)^bands, about 5e-6 here; the sketch test lies
 six standard deviations below the threshold. Shingles are told apart by 64-bit hashes.
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Memo, map_arrow, ship, stored
 from millrace.llm.graph import components
+from millrace.llm.vector_dups import forest
 
 MIX = 0x9E3779B97F4A7C15
 _WORDS: dict = {}
@@ -164,55 +168,100 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
     return map_arrow(own, ["doc_id", "text"], make, "doc_id long, hashes binary")
 
 
-def compare_blocks(members: DataFrame, most: float, block: int) -> DataFrame:
-    """Pairs (a, b) whose sketches are close, between components of one band, from (band, doc_id, component, home,
-    sketch). Pairs inside the band's home component are not looked at.
+def blocks(members: DataFrame, block: int, size: int, *more: str) -> DataFrame:
+    """Members of a band, (band, doc_id, component, home, sketch, ...), dealt to groups (band, i, j) with a column
+    `query`. Every member outside the band's home component meets every other member in exactly one group.
 
-    Members outside the home component are dealt to parts of about `block` by a hash of the id, and so are all
-    members; every part of those meets every part of these in a group of its own, so no group grows with the band.
+    Those outside are dealt to parts by a hash of the id, and so are all members; a part holds about `block` members and
+    `size` bytes, so no group grows with the band.
     """
     stranger = F.col("component") != F.col("home")
-    sizes = (members.groupBy("band").agg(F.count_if(stranger).alias("few"), F.count("*").alias("all"))
-             .where("few > 0").select("band", F.ceil(F.col("few") / block).cast("int").alias("few"),
-                                      F.ceil(F.col("all") / block).cast("int").alias("all")))
+    held = F.length("sketch") + (sum((F.length(c) for c in more if c == "hashes"), F.lit(0)))
+    parts = lambda n, b: F.greatest(F.ceil(n / block), F.ceil(b / size)).cast("int")
+    sizes = (members.groupBy("band").agg(
+        F.count_if(stranger).alias("n"), F.sum(F.when(stranger, held)).alias("b"), F.count("*").alias("m"),
+        F.sum(held).alias("c")).where("n > 0")
+        .select("band", parts(F.col("n"), F.col("b")).alias("few"), parts(F.col("m"), F.col("c")).alias("all")))
     own = members.join(sizes, "band")
     part = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    row = F.struct("doc_id", "component", "sketch")
-    each = own.select("band", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"), part("all").alias("j"),
-                      F.lit(False).alias("query"), row.alias("row"))
-    queries = own.where(stranger).select("band", part("few").alias("i"),
-                                         F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"),
-                                         F.lit(True).alias("query"), row.alias("row"))
-    groups = (each.unionAll(queries).groupBy("band", "i", "j")
-              .agg(F.collect_list(F.when(F.col("query"), F.col("row"))).alias("queries"),
-                   F.collect_list(F.when(~F.col("query"), F.col("row"))).alias("rows")).select("queries", "rows"))
-
-    def columns(rows):
-        bits = np.unpackbits(np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
-        return (np.array([r["doc_id"] for r in rows], np.int64), np.array([r["component"] for r in rows], np.int64),
-                bits.astype(np.float32) * 2 - 1)
-
-    def meet(batches):
-        for batch in batches:
-            out = [np.empty((0, 2), np.int64)]
-            for queries, rows in zip(*[c.to_pylist() for c in batch.columns]):
-                if not queries or not rows:
-                    continue
-                (a, ca, xa), (b, cb, xb) = columns(queries), columns(rows)
-                for start in range(0, len(a), 512):
-                    own = slice(start, start + 512)
-                    apart = (xa.shape[1] - xa[own] @ xb.T) / 2
-                    x, y = np.nonzero((apart <= most) & (ca[own][:, None] != cb[None, :]))
-                    pair = np.column_stack([a[own][x], b[y]])
-                    out.append(np.unique(np.column_stack([pair.min(axis=1), pair.max(axis=1)]), axis=0))
-            both = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-    return groups.mapInArrow(meet, "a long, b long").distinct()
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    row = ["doc_id", "component", "sketch", *more]
+    each = own.select("band", every("few").alias("i"), part("all").alias("j"), F.lit(False).alias("query"), *row)
+    asked = own.where(stranger).select("band", part("few").alias("i"), every("all").alias("j"),
+                                       F.lit(True).alias("query"), *row)
+    return each.unionAll(asked)
+
+
+def bits_of(column) -> np.ndarray:
+    """Sketches as rows of -1 and 1."""
+    values = column.to_pylist()
+    bits = np.unpackbits(np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1), axis=1)
+    return bits.astype(np.float32) * 2 - 1
+
+
+def nearby(group: pa.Table, most: float):
+    """For slices of a group's queries: their places, the other members' places, distances, and which are close and of
+    another component."""
+    asked = group.column("query").to_numpy()
+    left, right = np.flatnonzero(asked), np.flatnonzero(~asked)
+    component = group.column("component").to_numpy()
+    if len(left) and len(right):
+        xa, xb = (bits_of(group.column("sketch").take(pa.array(p))) for p in (left, right))
+        for start in range(0, len(left), 512):
+            own = left[start:start + 512]
+            apart = (xa.shape[1] - xa[start:start + 512] @ xb.T) / 2
+            yield own, right, apart, (apart <= most) & (component[own][:, None] != component[right][None, :])
+
+
+def closest_pairs(dealt: DataFrame, most: float) -> DataFrame:
+    """(a, b): every query of a group with its closest member of another component, if its sketch is close."""
+    def meet(group: pa.Table) -> pa.Table:
+        ids, out = group.column("doc_id").to_numpy(), [np.empty((0, 2), np.int64)]
+        for left, right, apart, near in nearby(group, most):
+            x = np.flatnonzero(near.any(axis=1))
+            y = np.where(near, apart, np.inf)[x].argmin(axis=1) if len(x) else x
+            out.append(np.sort(np.column_stack([ids[left[x]], ids[right[y]]]), axis=1))
+        both = np.concatenate(out)
+        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+
+
+def linked_pairs(dealt: DataFrame, most: float, percent: int) -> DataFrame:
+    """(a, b): a spanning forest, by group, of all confirmed links between components. A pair counts in the first band
+    that both share; the smallest member of a band has met all others before."""
+    def meet(group: pa.Table) -> pa.Table:
+        ids = group.column("doc_id").to_numpy()
+        asked = {i for i, q in zip(ids.tolist(), group.column("query").to_pylist()) if q}
+        bands = np.array(group.column("bands").to_pylist(), np.int64)
+        sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        here = int(np.flatnonzero(bands[0] == group.column("band")[0].as_py())[0]) if len(ids) else 0
+        links = []
+        for left, right, _, near in nearby(group, most):
+            x, y = np.nonzero(near)
+            for start in range(0, len(x), 1 << 16):
+                p, q = left[x[start:start + (1 << 16)]], right[y[start:start + (1 << 16)]]
+                first = (bands[p] == bands[q]).argmax(axis=1) == here
+                for a, b in zip(p[first].tolist(), q[first].tolist()):
+                    if ids[b] in asked and ids[a] > ids[b]:
+                        continue  # the other way round in another place
+                    s, t = sets[a], sets[b]
+                    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+                        continue
+                    n = len(np.intersect1d(s, t, assume_unique=True))
+                    if 100 * n >= percent * (len(s) + len(t) - n):
+                        links.append((ids[a], ids[b]))
+        both = np.array(links, np.int64).reshape(-1, 2)
+        nodes, place = np.unique(both, return_inverse=True)
+        place = place.reshape(-1, 2)
+        label = nodes[forest(place[:, 0], place[:, 1], len(nodes))] if len(nodes) else nodes
+        return pa.table({"a": label, "b": nodes})
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(meet, "a long, b long").where("a != b").distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, size: int = 5,
-                bands: int = 32, rows: int = 4, bits: int = 1024, block: int = 2048) -> DataFrame:
+                bands: int = 32, rows: int = 4, bits: int = 1024, block: int = 2048, block_bytes: int = 1 << 24) -> DataFrame:
     """One row per row of `docs` that has an id: doc_id, n_shingles, component_id, kept.
 
     The component is the smallest doc_id reachable by links; kept says that it is the row's own. Texts that are null or
@@ -240,7 +289,34 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = stored(confirmed(docs, star, id_col, text_col, size, percent), "confirmed")
     groups = components(links)
 
-    # Members outside the component of their band's smallest one: what that one does not show.
+    while True:
+        left = stored(_strangers(member, tops, groups), "strangers")
+        if left.isEmpty():
+            break
+        more = stored(closest_pairs(blocks(left.join(sketches, "doc_id"), block, block_bytes), limit), "closest")
+        if more.isEmpty():
+            break
+        found = stored(confirmed(docs, more, id_col, text_col, size, percent), "confirmed")
+        last = found.isEmpty()
+        if last:
+            sets = sets_of(docs, stored(left.select("doc_id").distinct(), "wanted"), id_col, text_col, size)
+            full = left.join(stored(sets, "sets"), "doc_id").join(single, "doc_id")
+            found = stored(linked_pairs(blocks(full, block, block_bytes, "bands", "hashes"), limit, percent), "linked")
+        links = links.unionAll(found)
+        groups = components(links)
+        if last:
+            break
+    top = groups.select(F.col("node").alias("rep"), F.col("component"))
+    classes = classes.join(top, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    return (signed.select("doc_id", "n_shingles", "key").join(classes, "key", "left")
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def _strangers(member: DataFrame, tops: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of bands that hold several components, apart from each band's smallest: (band, doc_id, component, home),
+    where home is the component of the smallest."""
     place = groups.withColumnRenamed("node", "doc_id")
     home = tops.select("band", F.col("top").alias("doc_id")).join(place, "doc_id", "left").select(
         "band", F.coalesce("component", "doc_id").alias("home"))
@@ -249,17 +325,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = stored(placed.join(home, "band"), "placed")
     several = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                .where("x != y").select("band"))
-    left = placed.join(several, "band", "left_semi").join(sketches, "doc_id")
-    more = stored(compare_blocks(left, limit, block), "between")
-    if not more.isEmpty():
-        links = links.unionAll(confirmed(docs, more, id_col, text_col, size, percent))
-        groups = components(links)
-    top = groups.select(F.col("node").alias("rep"), F.col("component"))
-    classes = classes.join(top, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
-    return (signed.select("doc_id", "n_shingles", "key").join(classes, "key", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return placed.join(several, "band", "left_semi")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
