@@ -11,6 +11,13 @@ def held_out(id_col: str | Column) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
+def eligible(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, y), one row per labelled id outside the held-out third; of several labels the largest counts."""
+    return (labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y"))
+            .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out("doc_id"))
+            .groupBy("doc_id").agg(F.max("y").alias("y")))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, text, y) of at most `most` labelled rows outside the held-out third, the same ones in every run.
@@ -19,9 +26,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: st
     lost. Only these ids, at most `most`, are broadcast; the texts are found by one scan without a shuffle. Where an id
     has several labels the largest counts; rows without a label are not used.
     """
-    known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y"))
-             .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max("y").alias("y")))
+    known = eligible(labels, label, id_col)
     order = [F.xxhash64(F.lit(17), "doc_id"), F.col("doc_id")]
     taken = [known.where(F.col("y") == y).orderBy(*order).limit(most // 2) for y in (0, 1)]
     return (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

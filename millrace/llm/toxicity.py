@@ -8,7 +8,8 @@ words, go through a logistic function.
 
 Terms and weights are learned from a bounded sample of labelled texts: the logarithm of how much likelier a term is in
 toxic texts. Near copies in the sample would make any of their words look telling, so of texts with the same smallest
-shingle hash only one is used.
+shingle hash only one is used. The sample takes as many rows of each class as there is room for, so its classes may be
+nearer to halves than all labels are; in the logistic fit each class weighs what it weighs among all labels.
 """
 from __future__ import annotations
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import by_bytes, keep_rows, map_arrow, ship, stored
-from millrace.llm.labelled import held_out, sample
+from millrace.llm.labelled import eligible, held_out, sample
 
 #: Letters of other scripts that look like Latin ones, and what they look like. Fixed values.
 HOMOGLYPHS = str.maketrans(
@@ -112,8 +113,10 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x + c * y))))
 
 
-def logistic(rows: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 60) -> np.ndarray:
-    """Weights (first the constant) by Newton steps; with one class only, its smoothed share."""
+def logistic(rows: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 60,
+             weight: np.ndarray | None = None) -> np.ndarray:
+    """Weights (first the constant) by Newton steps; with one class only, its smoothed share. Rows count by `weight`."""
+    weight = np.ones(len(y)) if weight is None else weight
     x = np.column_stack([np.ones(len(y)), rows])
     w = np.zeros(x.shape[1])
     if len(set(y.tolist())) < 2:
@@ -122,8 +125,8 @@ def logistic(rows: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int
         return w
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) / len(y))[:, None]).T @ x + penalty * np.eye(len(w))
-        w -= np.linalg.solve(h, x.T @ (p - y) / len(y) + penalty * w)
+        h = (x * (weight * p * (1 - p) / len(y))[:, None]).T @ x + penalty * np.eye(len(w))
+        w -= np.linalg.solve(h, x.T @ (weight * (p - y)) / len(y) + penalty * w)
     return w
 
 
@@ -176,7 +179,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 16
     points = np.array(map_arrow(own, ["y", "text"], measure, "y int, a double, b double").collect(), float)
     points = points.reshape(-1, 3)
     order = np.lexsort(points.T)
-    lexicon.numbers = tuple(logistic(points[order, 1:], points[order, 0]).tolist())
+    x, y = points[order, 1:], points[order, 0]
+    share = {r["y"]: r["n"] for r in eligible(labels, label, id_col).groupBy("y").agg(F.count("*").alias("n")).collect()}
+    whole, weight = sum(share[int(c)] for c in set(y.tolist())), np.ones(len(y))
+    for c in set(y.tolist()):
+        weight[y == c] = share[int(c)] / whole * len(y) / (y == c).sum()
+    lexicon.numbers = tuple(logistic(x, y, weight=weight).tolist())
     return lexicon
 
 

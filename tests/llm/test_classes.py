@@ -135,3 +135,21 @@ def test_gradient_of_the_filters():
     before = loss(net)
     net.train(chunks, filled, y, np.ones(4), rounds=1, batch=4, least_steps=1, rate=1e-4)
     assert before - 0.5 < loss(net) < before
+
+
+def test_toxic_scores_do_not_depend_on_the_bound_of_the_sample(spark):
+    """One toxic text to eight: a sample of all rows and one of as many rows of each class score alike."""
+    r, rows, marks = np.random.RandomState(4), [], []
+    for i in range(3600):
+        toxic = i % 9 == 0
+        words = [f"w{w}" for w in r.randint(0, 400, 60)]
+        words += [w for w in ("scumbag", "moronic", "vermin", "imbecile", "cretin") if r.rand() < (0.3 if toxic else 0.012)]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    fits = [toxicity.fit(docs, labels, most=most) for most in (16_000, 500)]
+    texts = [" ".join(f"w{k}" for k in range(60)) + more for more in ("", " scumbag", " scumbag vermin")]
+    logits = [[np.log(p / (1 - p)) for p in map(f.score, texts)] for f in fits]
+    assert np.abs(np.diff(logits, axis=0)).max() < 0.8, logits
+    half = [np.mean([f.score(t) for _, t in rows]) for f in fits]
+    assert all(abs(h - 1 / 9) < 0.03 for h in half), half
