@@ -38,8 +38,8 @@ RULES = """
 60 bsd-3-clause | bsd | (?:3|three) clause bsd|bsd 3 clause|(?:new|modified|revised) bsd
 60 bsd-4-clause | bsd | (?:4|four) clause bsd|bsd 4 clause|original bsd license
 60 0bsd | bsd | 0bsd|zero clause bsd|bsd zero clause
-40 bsd | bsd licen | bsd (?:style )?(?:license|licence|licensed)
-40 bsd | bsd style | bsd style (?:license|licence)
+40 bsd | bsd licen | bsd (?:license|licence|licensed)
+40 bsd | bsd style | bsd style (?:license|licence|licensed)
 90 gpl-2.0 | identifier gpl 2 0 | spdx license identifier gpl 2 0(?: only)?
 91 gpl-2.0-or-later | identifier gpl 2 0 or later | spdx license identifier gpl 2 0 or later
 90 gpl-3.0 | identifier gpl 3 0 | spdx license identifier gpl 3 0(?: only)?
@@ -112,7 +112,8 @@ RULES = """
 62 artistic-1.0 | artistic licen | artistic (?:license|licence) 1 0
 60 artistic | artistic licen | artistic (?:license|licence)
 60 perl | same terms as perl | under the same terms as perl(?: itself)?
-62 zlib | zlib licen | zlib (?:libpng )?(?:license|licence)
+62 zlib | zlib licen | zlib (?:license|licence)
+62 zlib | zlib libpng licen | zlib libpng (?:license|licence)
 90 zlib | provided as is without any express | this software is provided as is without any express or implied warranty in no event will the authors be held liable
 62 libpng | libpng licen | libpng (?:license|licence)
 62 bsl-1.0 | boost software licen | boost software (?:license|licence)(?: version| v)?(?: 1 0)?
@@ -139,7 +140,8 @@ RULES = """
 50 php | php licen | php (?:license|licence)
 60 python-2.0 | python software foundation licen | python software foundation (?:license|licence)
 50 psf | psf licen | psf (?:license|licence)
-60 ruby | ruby licen | ruby (?:license|licence)|ruby s (?:license|licence)
+60 ruby | ruby licen | ruby (?:license|licence)
+60 ruby | ruby s licen | ruby s (?:license|licence)
 60 zpl-2.1 | zope public licen | zope public (?:license|licence)(?: version)? 2 1
 50 zpl | zope public licen | zope public (?:license|licence)
 60 w3c | w3c software | w3c software (?:notice and )?(?:document )?(?:license|licence)
@@ -171,7 +173,8 @@ RULES = """
 60 curl | curl licen | curl (?:license|licence)
 60 ijg | independent jpeg group | independent jpeg group (?:license|licence)
 60 imagemagick | imagemagick licen | imagemagick (?:license|licence)
-60 unicode | unicode licen | unicode (?:inc )?(?:license|licence)
+60 unicode | unicode licen | unicode (?:license|licence)
+60 unicode | unicode inc licen | unicode inc (?:license|licence)
 60 icu | icu licen | icu (?:license|licence)
 60 hpnd | historical permission notice | historical permission notice and disclaimer
 60 ecl-2.0 | educational community licen | educational community (?:license|licence)
@@ -240,10 +243,12 @@ RULES = """
 60 dsl | design science licen | design science (?:license|licence)
 50 public-domain | public domain | (?:placed in|released into|released to|in|dedicated to) the public domain
 30 public-domain | public domain | public domain
-50 public-domain | us government work | (?:this is a )?(?:u s|us) government work
+50 public-domain | us government work | (?:this is a )?us government work
+50 public-domain | u s government work | (?:this is a )?u s government work
 66 proprietary | strictly prohibited | unauthori[sz]ed (?:copying|use|reproduction|distribution) ~ strictly prohibited
 66 proprietary | proprietary and confidential | proprietary and confidential
-60 proprietary | proprietary licen | proprietary (?:license|licence|software)
+60 proprietary | proprietary licen | proprietary (?:license|licence)
+60 proprietary | proprietary software | proprietary software
 60 proprietary | may not be reproduced | may not be reproduced(?: or transmitted| distributed| copied)? ~ without ~ permission
 60 proprietary | no part of this publication | no part of this publication may be reproduced
 60 eula | end user licen | end user (?:license|licence) agreement
@@ -264,6 +269,10 @@ RULES = """
 30 terms-of-service | terms of use | terms of use
 20 copyleft | copyleft | copyleft
 20 open-source | open source licen | open source (?:license|licence|licensed)
-20 dual | dual licen | dual (?:license|licence)[ds]?|dually licensed
-20 see-file | see the license file | see the (?:license|licence|copying) file|see license (?:txt|md|file)
+20 dual | dual licen | dual (?:license|licence)[ds]?
+20 dual | dually licensed | dually licensed
+20 see-file | see the license file | see the license file
+20 see-file | see the licence file | see the licence file
+20 see-file | see the copying file | see the copying file
+20 see-file | see license | see license (?:txt|md|file)
 """

@@ -1,4 +1,5 @@
 """Toxicity, quality and licence scans: features by hand, held-out accuracy, awkward rows."""
+import re._parser
 import zlib
 
 import numpy as np
@@ -153,3 +154,38 @@ def test_toxic_scores_do_not_depend_on_the_bound_of_the_sample(spark):
     assert np.abs(np.diff(logits, axis=0)).max() < 0.8, logits
     half = [np.mean([f.score(t) for _, t in rows]) for f in fits]
     assert all(abs(h - 1 / 9) < 0.03 for h in half), half
+
+
+def expansions(items):
+    """What a pattern can read, repeats taken once or not at all, one letter of a range."""
+    out = [""]
+    for op, value in items:
+        kind = str(op)
+        if kind == "LITERAL":
+            own = [chr(value)]
+        elif kind == "IN":
+            own = [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in value]
+        elif kind == "SUBPATTERN":
+            own = expansions(value[3])
+        elif kind == "BRANCH":
+            own = [x for branch in value[1] for x in expansions(branch)]
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            own = [""] * (value[0] == 0) + expansions(value[2])
+        else:
+            own = {"NOT_LITERAL": ["?"], "ASSERT_NOT": [""]}[kind]
+        out = [o + x for o in out for x in own]
+    return out
+
+
+def test_every_match_of_a_rule_holds_its_keyword():
+    for rule in license_scan.Scanner().rules:
+        assert not [x for x in expansions(re._parser.parse(rule.pattern.pattern)) if rule.keyword not in x], rule.label
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("the zlib/libpng license", "zlib"), ("BSD-style licensed", "bsd"), ("Ruby's license", "ruby"),
+    ("Unicode, Inc. License", "unicode"), ("a U.S. Government work", "public-domain"), ("this is proprietary software", "proprietary"),
+    ("dually licensed", "dual"), ("see the COPYING file", "see-file"), ("see the licence file", "see-file"),
+    ("see LICENSE.txt", "see-file"), ("see LICENSE.md", "see-file")])
+def test_labels_of_each_alternative(text, labels):
+    assert license_scan.Scanner().scan(text)[5] == labels
