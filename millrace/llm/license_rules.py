@@ -44,13 +44,13 @@ RULES = """
 91 gpl-2.0-or-later | identifier gpl 2 0 or later | spdx license identifier gpl 2 0 or later
 90 gpl-3.0 | identifier gpl 3 0 | spdx license identifier gpl 3 0(?: only)?
 91 gpl-3.0-or-later | identifier gpl 3 0 or later | spdx license identifier gpl 3 0 or later
-85 gpl-2.0-or-later | either version 2 of the license | gnu general public license ~ either version 2 of the license or
-85 gpl-3.0-or-later | either version 3 of the license | gnu general public license ~ either version 3 of the license or
-75 gpl-2.0 | version 2 | (?:gnu )?general public license(?: as published by the free software foundation)? version 2
-75 gpl-3.0 | version 3 | (?:gnu )?general public license(?: as published by the free software foundation)? version 3
+85 gpl-2.0-or-later | either version 2 | gnu general public license(?: as published by the free software foundation)? ~ either version 2 (?:of the license or|or at your option any later)
+85 gpl-3.0-or-later | either version 3 | gnu general public license(?: as published by the free software foundation)? ~ either version 3 (?:of the license or|or at your option any later)
+75 gpl-2.0 | version 2 | (?:gnu )?general public license(?: as published by the free software foundation)?(?: either)? version 2
+75 gpl-3.0 | version 3 | (?:gnu )?general public license(?: as published by the free software foundation)?(?: either)? version 3
 75 gpl-2.0 | general public license v2 | (?:gnu )?general public license v2
 75 gpl-3.0 | general public license v3 | (?:gnu )?general public license v3
-75 gpl-1.0 | version 1 | (?:gnu )?general public license version 1
+75 gpl-1.0 | version 1 | (?:gnu )?general public license(?: as published by the free software foundation)?(?: either)? version 1
 80 gpl | you can redistribute it | you can redistribute it and or modify it under the terms of the gnu general public license
 65 gpl-2.0-or-later | or later | gpl ?(?:version |v )?v?2(?: 0)? or later
 65 gpl-3.0-or-later | or later | gpl ?(?:version |v )?v?3(?: 0)? or later
@@ -66,9 +66,10 @@ RULES = """
 90 lgpl-2.1 | identifier lgpl 2 1 | spdx license identifier lgpl 2 1(?: only| or later)?
 90 lgpl-3.0 | identifier lgpl 3 0 | spdx license identifier lgpl 3 0(?: only| or later)?
 90 lgpl-2.0 | identifier lgpl 2 0 | spdx license identifier lgpl 2 0(?: only| or later)?
-80 lgpl-2.1 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)? (?:version |v)2 1
-80 lgpl-3.0 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)? (?:version |v)3
-80 lgpl-2.0 | library general public license | (?:gnu )?library general public license(?: version| v)? ?2
+80 lgpl-2.1 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)?(?: either)? (?:version |v)2 1
+80 lgpl-3.0 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)?(?: either)? (?:version |v)3
+80 lgpl-2.0 | lesser general public license | (?:gnu )?lesser general public license(?: as published by the free software foundation)?(?: either)? (?:version |v)2
+80 lgpl-2.0 | library general public license | (?:gnu )?library general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2
 76 lgpl | lesser general public | (?:gnu )?lesser general public (?:license|licence)
 76 lgpl | library general public | (?:gnu )?library general public (?:license|licence)
 62 lgpl-2.1 | lgpl | lgpl(?: version| v)? ?v?2 1

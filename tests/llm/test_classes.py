@@ -189,3 +189,25 @@ def test_every_match_of_a_rule_holds_its_keyword():
     ("see LICENSE.txt", "see-file"), ("see LICENSE.md", "see-file")])
 def test_labels_of_each_alternative(text, labels):
     assert license_scan.Scanner().scan(text)[5] == labels
+
+
+@pytest.mark.parametrize("name,version,labels", [
+    ("General", "; either version 1 of the License, or (at your option) any later version", "gpl,gpl-1.0"),
+    ("General", "; either version 2 of the License, or (at your option) any later version", "gpl,gpl-2.0-or-later"),
+    ("General", "; either version 2, or (at your option) any later version", "gpl,gpl-2.0-or-later"),
+    ("General", ", either version 3 of the License, or (at your option) any later version", "gpl,gpl-3.0-or-later"),
+    ("General", "; version 2 of the License", "gpl,gpl-2.0"),
+    ("Library General", "; either version 2 of the License, or (at your option) any later version", "gpl,lgpl-2.0"),
+    ("Lesser General", "; either version 2 of the License, or (at your option) any later version", "gpl,lgpl-2.0"),
+    ("Lesser General", "; either version 2.1 of the License, or (at your option) any later version", "gpl,lgpl-2.1"),
+    ("Lesser General", ", either version 3 of the License, or (at your option) any later version", "gpl,lgpl-3.0"),
+    ("Affero General", ", either version 3 of the License, or (at your option) any later version", "agpl-3.0,gpl")])
+def test_labels_of_standard_notices(name, version, labels):
+    notice = f"""# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU {name} Public License as published by
+# the Free Software Foundation{version}.
+#
+# This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+# warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {name} Public License for more
+# details."""
+    assert set(license_scan.Scanner().scan(notice)[5].split(",")) - {"lgpl", "agpl"} == set(labels.split(","))
