@@ -7,8 +7,8 @@ in it, and words inside an exception phrase count nothing. The sum of the weight
 words, go through a logistic function.
 
 Terms and weights are learned from a bounded sample of labelled texts: the logarithm of how much likelier a term is in
-toxic texts. Near copies in the sample would make any of their words look telling, so of texts with the same smallest
-shingle hash only one is used. The sample takes as many rows of each class as there is room for, so its classes may be
+toxic texts. Near copies in the sample would make any of their words look telling, so of texts with one
+label that share three of four smallest shingle hashes only one is used. The sample takes as many rows of each class as there is room for, so its classes may be
 nearer to halves than all labels are; in the logistic fit each class weighs what it weighs among all labels.
 """
 from __future__ import annotations
@@ -42,6 +42,7 @@ MARKS = re.compile("[̀-ͯ]+")
 STANDS_FOR = re.compile(r"(?<=[^\W\d_])[0134578-9@$]+|[0134578-9@$]+(?=[^\W\d_])")
 BETWEEN = re.compile(r"[\W_]+")
 SHORTEST, LONGEST_STEM = 4, 7
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
 def fold(text: str) -> str:
@@ -65,11 +66,33 @@ def terms_of(folded: str) -> set[str]:
     return out
 
 
-def copy_key(folded: str) -> int:
-    """The smallest hash of five folded words in a row: near copies mostly have the same one."""
+def copy_keys(folded: str) -> list[int]:
+    """The smallest of four hashes each of five folded words in a row: near copies mostly share three of them."""
     words = folded.split()
-    rows = [" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))]
-    return min(xxhash.xxh3_64_intdigest(r) for r in rows) - (1 << 63)
+    rows = {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+    hashes = np.array([xxhash.xxh3_64_intdigest(r) for r in rows], np.uint64)
+    out = []
+    for factor in FACTORS:
+        mixed = hashes * np.uint64(factor)
+        out.append(int(((mixed ^ (mixed >> np.uint64(31))) * np.uint64(FACTORS[0])).min()) - (1 << 63))
+    return out
+
+
+def first_of_copies(rows: list[tuple]) -> list[tuple]:
+    """Of (y, id, four keys), the one with the smallest id of those that equal y and three keys connect."""
+    rows = sorted(rows, key=lambda r: r[1:])
+    top, seen = list(range(len(rows))), {}
+
+    def root(i):
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        return i
+
+    for i, (y, _, *keys) in enumerate(rows):
+        for k in range(4):
+            a, b = root(seen.setdefault((y, k, *keys[:k], *keys[k + 1:]), i)), root(i)
+            top[max(a, b)] = min(a, b)
+    return [row for i, row in enumerate(rows) if top[i] == i]
 
 
 class Lexicon:
@@ -144,15 +167,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 16
     def prepare():
         def work(y, ids, texts):
             folded = [fold(t) for t in texts]
-            return y, [copy_key(f) for f in folded], ids, texts
+            return y, ids, *zip(*[copy_keys(f) for f in folded]), texts
         return work
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    keyed = map_arrow(rows, ["y", "doc_id", "text"], prepare, f"y int, key long, doc_id {kind}, text string")
-    own = stored(keyed.groupBy("key").agg(F.min_by(F.struct("y", "text"), "doc_id").alias("row")).select("row.*"),
-                 "toxicity-sample")
-    totals = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
+    kind, keys = rows.schema["doc_id"].dataType.simpleString(), ["doc_id", "a", "b", "c", "d"]
+    typed = f"doc_id {kind}, a long, b long, c long, d long"
+    keyed = map_arrow(rows, ["y", "doc_id", "text"], prepare, f"y int, {typed}, text string")
+    drawn = stored(keyed.groupBy(*keys).agg(F.min(F.struct("y", "text")).alias("row")).select(*keys, "row.*"),
+                   "toxicity-sample")
+    # At most `most` ids with their four numbers, without texts.
+    first = first_of_copies([tuple(r) for r in drawn.select("y", *keys).collect()])
+    own = drawn.join(F.broadcast(spark.createDataFrame([r[1:] for r in first], typed)), keys).select("y", "text")
+    toxic = sum(r[0] for r in first)
+    clean = len(first) - toxic
 
     def count(batches):
         for batch in (part for whole in batches for part in by_bytes(whole, 1, 1 << 22)):

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import AWKWARD, awkward, frame, words_of
 
 from millrace.llm import labelled, license_scan, quality_cnn, queries, toxicity
@@ -211,3 +212,19 @@ def test_labels_of_standard_notices(name, version, labels):
 # warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {name} Public License for more
 # details."""
     assert set(license_scan.Scanner().scan(notice)[5].split(",")) - {"lgpl", "agpl"} == set(labels.split(","))
+
+
+def test_a_shared_passage_makes_no_copies(spark):
+    r = np.random.RandomState(6)
+    prose = lambda n: [f"w{k}" for k in r.randint(0, 4000, n)]
+    low = lambda words: min(xxhash.xxh3_64_intdigest(" ".join(words[i:i + 5])) for i in range(len(words) - 4))
+    passage = min([prose(12) for _ in range(300)], key=lambda p: low(toxicity.fold(" ".join(p)).split()))
+    # The passage holds the smallest hash of nearly every text.
+    rows = [(i, " ".join(prose(24) + passage + prose(24) + ["scumbag"] * (i % 2))) for i in range(60)]
+    copy = " ".join(prose(80) + ["oddity"])
+    rows += [(i, copy + f" w{i}") for i in range(100, 130)]
+    labels = spark.createDataFrame([(i, int(i >= 100 or i % 2)) for i, _ in rows], "doc_id long, toxic int")
+    weights = toxicity.fit(frame(spark, rows), labels).weights
+    assert " scumbag " in weights and " oddity " not in weights
+    rows = [(y, i, *toxicity.copy_keys(toxicity.fold(copy))) for i, y in enumerate((0, 1, 1, 0))]
+    assert [row[:2] for row in toxicity.first_of_copies(rows)] == [(0, 0), (1, 1)]
