@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, token_counts, toxicity, vector_dups, warc
+from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, repeats, token_counts, toxicity, vector_dups, warc
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,28 @@ def op9_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a byte-level network learned from the labels outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
     return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of windows of 50 that a document with a smaller id holds too, removed from every document."""
+    made = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op13_repeats"] = """
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), wins AS (
+    SELECT doc_id, pos, array_to_string(ws[pos:pos + 49], ' ') AS win
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS pos FROM w WHERE len(ws) >= 50)
+), firsts AS (SELECT win, min(doc_id) AS first FROM wins GROUP BY win HAVING min(doc_id) < max(doc_id)),
+gone AS (
+    SELECT doc_id, list(DISTINCT p) AS ps FROM (
+        SELECT doc_id, unnest(range(pos, pos + 50)) AS p FROM wins JOIN firsts ON firsts.win = wins.win
+        WHERE first < doc_id) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(len(ps), 0) AS n_removed,
+       sha256(array_to_string(list_transform(list_filter(range(1, len(ws) + 1),
+           lambda i: ps IS NULL OR NOT list_contains(ps, i)), lambda i: ws[i]), ' ')) AS kept_sha256
+FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id"""
