@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, repeats, token_counts, toxicity, vector_dups, warc
+from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, repeats, token_counts, toxicity, variants, vector_dups, warc
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +203,47 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(len(ps), 0) AS n_r
        sha256(array_to_string(list_transform(list_filter(range(1, len(ws) + 1),
            lambda i: ps IS NULL OR NOT list_contains(ps, i)), lambda i: ws[i]), ' ')) AS kept_sha256
 FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id"""
+
+
+@query
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent word one edit away, and the root that forms lead to."""
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_variants"] = """
+WITH RECURSIVE t AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS raw FROM documents
+), low AS (
+    SELECT run, k, upper(hex(encode(concat(CAST(doc_id AS VARCHAR), ':', run)))) AS hx FROM (
+        SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+        FROM runs WHERE length(raw) >= 6 GROUP BY ALL)
+), hashed AS (
+    SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(hx) // 2), lambda i:
+        (instr('0123456789ABCDEF', substr(hx, 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hx, 2 * i + 2, 1)) - 1)),
+        lambda c, b: xor(tab[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) AS h FROM low, t
+), words AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+        SELECT k, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), dels AS (
+    SELECT word, i, left(word, i) || substr(word, i + 2) AS d FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word AS a, b.word AS b FROM dels a JOIN dels b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+    UNION SELECT a.word, w.word FROM dels a JOIN words w ON w.word = a.d
+    UNION SELECT w.word, a.word FROM dels a JOIN words w ON w.word = a.d
+), best AS (
+    SELECT a, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS b, max(w.n) AS bn FROM near JOIN words w ON w.word = b GROUP BY a
+), forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 5 * n THEN b END AS form,
+           CASE WHEN bn >= 5 * n THEN bn END AS form_n FROM words LEFT JOIN best ON best.a = word
+), chain AS (
+    SELECT word, word AS at, form AS next FROM forms
+    UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON forms.word = chain.next
+)
+SELECT forms.word, form, chain.at AS root, n, n_near, form_n
+FROM forms JOIN chain ON chain.word = forms.word AND chain.next IS NULL"""
