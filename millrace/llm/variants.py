@@ -1,8 +1,10 @@
 """Spelling variants: words one edit apart, found in a trie of letter-group counts, and the roots their forms lead to.
 
-A word is the vector of how many letters of each group it has, and the trie holds words by these counts, one group a
-level. One edit changes at most one count upwards and one downwards, so a search spends a surplus and a deficit of one
-each on its way down; the words of the leaves that it reaches are compared letter by letter.
+A word is the vector of its length and of how many letters of each group it has, and the trie holds words by these counts,
+one level each. One edit changes at most one count upwards and one downwards, so a search spends a surplus and a deficit
+of one each on its way down; the words of the leaves that it reaches are compared letter by letter. Each pair is searched
+from one side: from the longer word, or, of two of one length, from the one with fewer letters of the first group in which
+they differ. So a search takes its deficit without a surplus only if it looks for shorter words, and else after it.
 
 The top of the trie is a table of nodes: all words descend through it together, level by level, as long as a node holds
 more than `most` words. Below such a node's children the trie is built and searched, depth first, inside a task.
@@ -19,8 +21,12 @@ from millrace.llm.common import ship, stored
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = "[A-Za-zÀ-ÿ]+"
-#: Letters whose number makes one level of the trie; all others are the last level.
+#: Letters whose number makes one level of the trie, below that of the length; all others make none.
 GROUPS = ("e", "a", "i", "o", "n", "r", "t", "s", "l", "uw", "d", "c", "mg", "ph", "éèê", "bvy")
+LEVELS = len(GROUPS) + 1
+#: What a search has spent: nothing yet, its surplus, all it may; or it looks for shorter words and has its deficit left.
+SAME, RISEN, SPENT, SHORTER = range(4)
+LEAF = 8
 
 
 def damaged_runs(docs: DataFrame, id_col: str, text_col: str, least_length: int, every: int) -> DataFrame:
@@ -45,111 +51,108 @@ def words_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
 
 def group_counts(word: Column) -> Column:
-    """How many letters of each group the word has, and how many others."""
-    counts = [F.char_length(word) - F.char_length(F.translate(word, g, "")) for g in GROUPS]
-    return F.array(*counts, F.char_length(F.translate(word, "".join(GROUPS), "")))
-
-
-LEVELS = len(GROUPS) + 1
-
+    """A word's length, and how many letters of each group it has."""
+    return F.array(F.char_length(word), *[F.char_length(word) - F.char_length(F.translate(word, g, "")) for g in GROUPS])
 
-def step(counts: Column, level: Column | int, change: int = 0) -> Column:
-    """The name of a trie's edge: a count and a comma. A node is named by the edges that lead to it."""
-    return F.concat((F.get(counts, F.lit(level) if isinstance(level, int) else level) + change).cast("string"), F.lit(","))
 
+def ways(level: int) -> Column:
+    """What a search may do at a level of the trie: (edge, spent). A node is named by the edges that lead to it."""
+    count, spent = F.get("counts", F.lit(level)), F.col("spent")
+    way = lambda change, after: F.struct(F.concat((count + change).cast("string"), F.lit(",")).alias("edge"),
+                                         after.cast("int").alias("spent"))
+    if level == 0:
+        return F.array(way(0, F.lit(SAME)), way(-1, F.lit(SHORTER)))
+    return F.filter(F.array(way(0, spent), F.when(spent == SAME, way(1, F.lit(RISEN))),
+                            F.when(spent.isin(RISEN, SHORTER), way(-1, F.lit(SPENT)))), lambda w: w.isNotNull())
 
-def nodes_of(words: DataFrame, most: int) -> DataFrame:
-    """(node, level, full) of the root and of all children of full nodes; a node is full if it holds over `most` words and
-    has levels below."""
-    paths = words.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda d: F.struct(
-        d.alias("level"), F.array_join(F.slice("counts", F.lit(1), d), ",").alias("path")))).alias("p"))
-    name = F.when(F.col("p.level") == 0, "").otherwise(F.concat("p.path", F.lit(",")))
-    sizes = stored(paths.select(name.alias("node"), "p.level").groupBy("node", "level")
-                   .agg((F.count(F.lit(1)) > most).alias("full")), "nodes")
-    above = sizes.where("full").select(F.col("node").alias("parent"))
-    parent = F.regexp_replace("node", "[^,]+,$", "")
-    inside = sizes.where("level > 0").withColumn("parent", parent).join(above, "parent", "left_semi").drop("parent")
-    return stored(sizes.where("level = 0").unionByName(inside)
-                  .withColumn("full", F.col("full") & (F.col("level") < LEVELS)), "nodes")
 
-
-def descend(words: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(word, n, counts, node, level, up, down): the nodes that are not full which each word's search reaches, with what is
-    left of its surplus and deficit. A word is itself in the one that it reaches with both unspent."""
-    front = words.select("word", "n", "counts", F.lit("").alias("node"), F.lit(True).alias("up"), F.lit(True).alias("down"))
+def descend(words: DataFrame, most: int) -> DataFrame:
+    """(word, n, counts, node, level, spent, held): the nodes of at most `most` words (`held`; more only where no level is
+    left) that each word's search reaches, with what it has spent. A word is itself in the one that it reaches as SAME."""
+    front = stored(words.select("word", "n", "counts", F.lit("").alias("node"), F.lit(SAME).alias("spent")), "descent")
     reached = None
     for level in range(LEVELS + 1):
-        met = stored(front.join(nodes.where(F.col("level") == level), "node"), "descent")
-        ended = met.where("NOT full").drop("full")
+        sizes = stored(front.where(F.col("spent") == SAME).groupBy("node").agg(F.count(F.lit(1)).alias("held")), "nodes")
+        full = F.lit(level < LEVELS) & (F.col("held") > most)
+        ended = front.join(sizes.where(~full), "node").withColumn("level", F.lit(level))
         reached = ended if reached is None else reached.unionByName(ended)
-        if level == LEVELS or met.where("full").isEmpty():
+        if sizes.where(full).isEmpty():
             return reached
-        ways = F.array(
-            F.struct(step(F.col("counts"), level).alias("edge"), F.col("up"), F.col("down")),
-            F.when(F.col("up"), F.struct(step(F.col("counts"), level, 1).alias("edge"), F.lit(False).alias("up"), F.col("down"))),
-            F.when(F.col("down"), F.struct(step(F.col("counts"), level, -1).alias("edge"), F.col("up"), F.lit(False).alias("down"))))
-        front = (met.where("full").select("word", "n", "counts", "node", F.explode(ways).alias("way"))
-                 .where("way IS NOT NULL")
-                 .select("word", "n", "counts", F.concat("node", "way.edge").alias("node"), "way.up", "way.down"))
+        open_ = front.join(sizes.where(full).select("node"), "node")
+        front = stored(open_.select("word", "n", "counts", "node", F.explode(ways(level)).alias("way")).select(
+            "word", "n", "counts", F.concat("node", "way.edge").alias("node"), "way.spent"), "descent")
 
 
 def one_edit(a: str, b: str) -> bool:
     """Whether one inserted, deleted or replaced code point makes `b` of `a`."""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
-        return False
-    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a[at + 1:] == b[at + 1:] if len(a) == len(b) else a[at:] == b[at + 1:]
-
-
-def leaves(trie: dict, counts: tuple[int, ...], up: bool, down: bool) -> list[list]:
-    """The leaves of a trie of nested dictionaries that a search for these counts reaches, depth first."""
-    found, open_ = [], [(trie, 0, up, down)]
+    at, end = 0, len(a)
+    while at < end and a[at] == b[at]:
+        at += 1
+    if len(b) == end:
+        return at < end and a[at + 1:] == b[at + 1:]
+    return len(b) == end + 1 and a[at:] == b[at + 1:]
+
+
+def built(members: list[tuple], level: int):
+    """A trie of (counts, word, n) from a level down: nested dictionaries, and lists of at most LEAF members, or of those
+    that no level parts."""
+    if len(members) <= LEAF or level == LEVELS:
+        return members
+    below = defaultdict(list)
+    for m in members:
+        below[m[0][level]].append(m)
+    return {count: built(part, level + 1) for count, part in below.items()}
+
+
+def candidates(trie, counts: list[int], level: int, spent: int) -> list[tuple]:
+    """The members of all leaves that a search for these counts reaches, depth first."""
+    found, open_ = [], [(trie, level, spent)]
     while open_:
-        node, level, may_rise, may_fall = open_.pop()
-        if level == len(counts):
-            found.append(node)
+        node, level, spent = open_.pop()
+        if isinstance(node, list):
+            found += node
             continue
-        for change, allowed in ((0, True), (1, may_rise), (-1, may_fall)):
-            child = node.get(counts[level] + change) if allowed else None
-            if child is not None:
-                open_.append((child, level + 1, may_rise and change < 1, may_fall and change > -1))
+        count = counts[level]
+        if level == 0:
+            tries = ((count, SAME), (count - 1, SHORTER))
+        elif spent == SAME:
+            tries = ((count, SAME), (count + 1, RISEN))
+        elif spent == SPENT:
+            tries = ((count, SPENT),)
+        else:
+            tries = ((count, spent), (count - 1, SPENT))
+        for edge, after in tries:
+            if edge in node:
+                open_.append((node[edge], level + 1, after))
     return found
 
 
 def search(rows: pa.Table) -> pa.Table:
-    """Members and queries of one node to (word, n_near, best): number of near words, and the most frequent one."""
+    """Members and queries of one node to (word, n_near, less, best), for both words of each pair: number of near words, the
+    largest frequency among them, negated, and the first word that has it."""
     level = rows.column("level")[0].as_py()
-    member, word, n, counts, up, down = (rows.column(c).to_pylist() for c in ("member", "word", "n", "counts", "up", "down"))
-    trie: dict = {}
-    queries = defaultdict(list)
-    for i, vector in enumerate(counts):
-        tail = tuple(vector[level:])
-        if member[i]:
-            node = trie
-            for c in tail[:-1]:
-                node = node.setdefault(c, {})
-            if tail:
-                node.setdefault(tail[-1], []).append((word[i], n[i]))
-            else:
-                trie.setdefault(0, []).append((word[i], n[i]))
-        else:
-            queries[tail, up[i], down[i]].append(word[i])
-    out = [], [], [], []
-    for (tail, rise, fall), words in queries.items():
-        candidates = [c for leaf in (leaves(trie, tail, rise, fall) if tail else trie.values()) for c in leaf]
-        for w in words:
-            near = [(-k, c) for c, k in candidates if one_edit(w, c)]
-            if near:
-                k, best = min(near)
-                for column, value in zip(out, (w, len(near), k, best)):
-                    column.append(value)
-    return pa.table(dict(zip(("word", "n_near", "less", "best"), (
-        pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())))))
-
-
-def near_words(words: DataFrame, most: int = 2048) -> DataFrame:
+    member, word, n, counts, spent = (rows.column(c).to_pylist() for c in ("member", "word", "n", "counts", "spent"))
+    trie = built([(c, w, k) for m, c, w, k in zip(member, counts, word, n) if m], level)
+    near: dict[str, tuple] = {}
+
+    def note(w: str, k: int, other: str) -> None:
+        number, best = near.get(w, (0, (1, "")))
+        near[w] = number + 1, min(best, (-k, other))
+
+    for m, c, w, k, s in zip(member, counts, word, n, spent):
+        if not m:
+            for vector, other, often in candidates(trie, c, level, s):
+                if one_edit(w, other) and (vector[0] < c[0] or vector[0] == c[0] and (vector, other) > (c, w)):
+                    note(w, often, other)
+                    note(other, k, w)
+    return pa.table({"word": pa.array(near, pa.string()), "n_near": pa.array([v[0] for v in near.values()], pa.int64()),
+                     "less": pa.array([v[1][0] for v in near.values()], pa.int64()),
+                     "best": pa.array([v[1][1] for v in near.values()], pa.string())})
+
+
+def near_words(words: DataFrame, most: int = 16_384) -> DataFrame:
     """(word, n_near, best_n, best) of each word (word, n) that another is one edit from; of equally frequent ones the first
     in the order of code points is `best`.
 
@@ -159,19 +162,16 @@ def near_words(words: DataFrame, most: int = 2048) -> DataFrame:
     """
     ship(words.sparkSession)
     words = stored(words.withColumn("counts", group_counts(F.col("word"))), "words")
-    reached = stored(descend(words, nodes_of(words, most)), "reached")
-    own = F.col("up") & F.col("down")
-    parts = stored(reached.groupBy("node").agg(
-        F.ceil(F.count(F.lit(1)) / most).cast("int").alias("query_parts"),
-        F.ceil(F.count_if(own) / most).cast("int").alias("word_parts")), "parts")
-    sized = reached.join(parts, "node")
+    reached = stored(descend(words, most), "reached")
+    asked = stored(reached.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("query_parts")), "parts")
+    sized = reached.join(asked, "node").withColumn("word_parts", F.ceil(F.col("held") / most).cast("int"))
     mine = lambda n: F.pmod(F.xxhash64("word"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    kept = ["node", "level", "word", "n", "counts", "up", "down"]
+    kept = ["node", "level", "word", "n", "counts", "spent"]
     queries = sized.select(*kept, F.lit(False).alias("member"), mine("query_parts").alias("query_part"),
                            all_of("word_parts").alias("word_part"))
-    members = sized.where(own).select(*kept, F.lit(True).alias("member"), all_of("query_parts").alias("query_part"),
-                                      mine("word_parts").alias("word_part"))
+    members = sized.where(F.col("spent") == SAME).select(
+        *kept, F.lit(True).alias("member"), all_of("query_parts").alias("query_part"), mine("word_parts").alias("word_part"))
     found = queries.unionByName(members).groupBy("node", "query_part", "word_part").applyInArrow(
         lambda key, rows: search(rows), "word string, n_near long, less long, best string")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("less", "best")).alias("b")).select(
@@ -191,7 +191,7 @@ def roots_of(forms: DataFrame) -> DataFrame:
 
 
 def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = 6, least_count: int = 5,
-             ratio: int = 5, every: int = 199, most: int = 2048) -> DataFrame:
+             ratio: int = 5, every: int = 199, most: int = 16_384) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of all words of a collection that are long and common enough.
 
     A word's form is the most frequent word one edit away, if that is at least `ratio` times as frequent; its root is
