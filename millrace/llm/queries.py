@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, repeats, token_counts, toxicity, variants, vector_dups, warc
+from millrace.llm import bpe_prefix, decontaminate, huffman_ids, license_scan, minhash_dups, quality_cnn, repeats, token_counts, toxicity, variants, vector_dups, warc, whitening
 from millrace.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,3 +247,10 @@ WITH RECURSIVE t AS (
 )
 SELECT forms.word, form, chain.at AS root, n, n_near, form_n
 FROM forms JOIN chain ON chain.word = forms.word AND chain.next IS NULL"""
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the unit-variance axes of their eight largest components."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
