@@ -87,16 +87,26 @@ def domain_rules(domains: dict[str, Sequence[str]]) -> list[Rule]:
             for column, values in domains.items()]
 
 
-def cross_field_rules(kind: str = "transaction_type") -> list[Rule]:
-    """Fields that must be empty unless the kind of transaction uses them."""
-    # Which kinds use which field.
-    users = {
-        "merchant_id": ["purchase", "refund"], "biller_id": ["bill_payment"],
-        "bill_reference": ["bill_payment"], "due_date": ["bill_payment"],
-        "counterparty_iban": ["transfer_out"], "original_transaction_id": ["refund"],
-    }
-    return [Rule(f"{field}_not_applicable", "business", F.col(field).isNotNull() & ~F.col(kind).isin(kinds))
-            for field, kinds in users.items()]
+def contract_rules(columns: dict[str, str], keys: Sequence[str] = (), domains: dict[str, Sequence[str]] | None = None) -> list[Rule]:
+    """What a contract alone says of a typed projection: whole records, keys, values that fit their types, code values."""
+    typed = [c for c, kind in columns.items() if kind != "string"]
+    return [malformed(columns), *[Rule(f"missing_{k}", "keys", F.col(k).isNull()) for k in keys],
+            *[Rule(f"invalid_{c}", "types", F.col(c).isNull() & F.col(f"{c}_text").isNotNull()) for c in typed],
+            *domain_rules({c: values for c, values in (domains or {}).items() if c in columns})]
+
+
+# Which kinds of transaction use which field.
+USERS = {
+    "merchant_id": ["purchase", "refund"], "biller_id": ["bill_payment"],
+    "bill_reference": ["bill_payment"], "due_date": ["bill_payment"],
+    "counterparty_iban": ["transfer_out"], "original_transaction_id": ["refund"],
+}
+
+
+def cross_field_rules(kind: str = "transaction_type", users: dict[str, Sequence[str]] | None = None) -> list[Rule]:
+    """Fields that must be empty unless the kind of row uses them."""
+    return [Rule(f"{field}_not_applicable", "business", F.col(field).isNotNull() & ~F.col(kind).isin(list(kinds)))
+            for field, kinds in (users or USERS).items()]
 
 
 def id_prefix_fails(identifier: str, kind: str, business_date: str,

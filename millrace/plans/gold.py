@@ -1,18 +1,20 @@
 """Silver to Gold: dimensions, facts and marts of the bank model."""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, money
 from millrace.operators import calendar as cal
-from millrace.operators import facts, history, lookups, marts
+from millrace.operators import facts, history, keys, lookups, marts
 from millrace.operators.skew import hot_keys, salted_join
-from millrace.plans.silver import read_silver
+from millrace.plans.silver import log_of, read_silver
 from millrace.registry import BY_ENTITY
 from millrace.sources import tables
+from millrace.sources.commits import Version
 
 CHANGE_ORDER = ["change_seq"]
 PROFILE = ["payment_method", "channel", "transaction_type", "status"]
@@ -20,18 +22,42 @@ PROFILE = ["payment_method", "channel", "transaction_type", "status"]
 
 @dataclass
 class Silver:
-    """Reads the Silver tables of one lake; the gold builders below take it as their only input."""
+    """Reads the Silver tables of one lake, each as of the version it was first asked for; the gold builders below take it
+    as their only input."""
     spark: SparkSession
     lake: tables.Lake
+    versions: dict[str, Version] = field(default_factory=dict)
+    parts: dict[str, DataFrame] = field(default_factory=dict)
 
-    def __call__(self, entity: str) -> DataFrame:
-        return read_silver(self.spark, self.lake, BY_ENTITY[entity])
+    def version(self, entity: str) -> Version:
+        if entity not in self.versions:
+            self.versions[entity] = log_of(self.spark, self.lake, BY_ENTITY[entity]).current()
+        return self.versions[entity]
+
+    def __call__(self, entity: str, days: Iterable[str] | None = None) -> DataFrame:
+        if days is None and entity in self.parts:
+            return self.parts[entity]
+        return read_silver(self.spark, self.lake, BY_ENTITY[entity], at=self.version(entity), values=days)
+
+    def only(self, **parts: DataFrame) -> Silver:
+        """The same tables, but of some entities the given rows alone."""
+        return replace(self, parts={**self.parts, **parts})
 
     def key_map(self) -> DataFrame:
         edges = history.key_changes(self("customers"), "old_customer_id", "customer_id", "change_seq")
         return history.key_map(edges)
 
 
+#: (versions, member column, version column, key column) -> versions with their surrogate keys.
+KeyMaker = Callable[[DataFrame, str, str, str], DataFrame]
+
+
+def hashed_keys(versions: DataFrame, member: str, version: str, sk: str) -> DataFrame:
+    """Keys without a store: what the store would draw first for the same names."""
+    name = F.coalesce(F.col(version).cast("string"), F.lit(keys.OPEN))
+    return versions.withColumn(sk, keys.hashed(F.col(member).cast("string"), name, 0))
+
+
 def with_durable_customer(df: DataFrame, mapping: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """`base`: the stored table a derived `df` comes from, to look for hot customers in."""
     hot = hot_keys(base, ["customer_id"]) if base is not None else None
@@ -39,30 +65,33 @@ def with_durable_customer(df: DataFrame, mapping: DataFrame, base: DataFrame | N
 
 
 # -- dimensions ------------------------------------------------------------------------------------------
-def dim_customer(silver: Silver, mapping: DataFrame, facts_for_stubs: DataFrame | None = None) -> DataFrame:
-    """One chain per durable key across key changes; no personal columns."""
+def dim_customer(silver: Silver, mapping: DataFrame, facts_for_stubs: DataFrame | None = None,
+                 keyed: KeyMaker = hashed_keys) -> DataFrame:
+    """One chain per durable key across key changes; no personal columns. A version is named by the change that opened it."""
     changes = with_durable_customer(silver("customers"), mapping)
     versions = history.scd2(changes, ["customer_dk"], CHANGE_ORDER, "change_ts",
-                            ["segment", "city", "country", "kyc_status", "risk_rating"], op="op", carry=["customer_id"])
+                            ["segment", "city", "country", "kyc_status", "risk_rating"], op="op",
+                            carry=["customer_id", *CHANGE_ORDER])
     if facts_for_stubs is not None:
         versions = history.inferred_members(facts_for_stubs, versions, "customer_dk", "event_ts")
-    return facts.versioned_dimension(versions, "customer_dk", "customer_sk")
+    return keyed(versions, "customer_dk", "change_seq", "customer_sk").drop("change_seq")
 
 
-def _versioned(changes: DataFrame, key: str, sk: str, attributes: list[str], stubs: DataFrame | None) -> DataFrame:
-    versions = history.scd2(changes, [key], CHANGE_ORDER, "change_ts", attributes, op="op")
+def _versioned(changes: DataFrame, key: str, sk: str, attributes: list[str], stubs: DataFrame | None,
+               keyed: KeyMaker) -> DataFrame:
+    versions = history.scd2(changes, [key], CHANGE_ORDER, "change_ts", attributes, op="op", carry=CHANGE_ORDER)
     if stubs is not None:
         versions = history.inferred_members(stubs, versions, key, "event_ts")
-    return facts.versioned_dimension(versions, key, sk)
+    return keyed(versions, key, "change_seq", sk).drop("change_seq")
 
 
-def dim_account(silver: Silver, stubs: DataFrame | None = None) -> DataFrame:
-    return _versioned(silver("accounts"), "account_id", "account_sk", ["account_type", "status", "open_date"], stubs)
+def dim_account(silver: Silver, stubs: DataFrame | None = None, keyed: KeyMaker = hashed_keys) -> DataFrame:
+    return _versioned(silver("accounts"), "account_id", "account_sk", ["account_type", "status", "open_date"], stubs, keyed)
 
 
-def dim_merchant(silver: Silver, stubs: DataFrame | None = None) -> DataFrame:
+def dim_merchant(silver: Silver, stubs: DataFrame | None = None, keyed: KeyMaker = hashed_keys) -> DataFrame:
     return _versioned(silver("merchants"), "merchant_id", "merchant_sk",
-                      ["merchant_name", "mcc", "category", "country"], stubs)
+                      ["merchant_name", "mcc", "category", "country"], stubs, keyed)
 
 
 def bridge_account_customer(silver: Silver, mapping: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -81,17 +110,13 @@ def dim_biller(silver: Silver) -> DataFrame:
                          "bill_type", "is_active")
 
 
-def dim_invest_product(silver: Silver, verified: DataFrame | None = None) -> DataFrame:
-    """`verified` holds the `_batch_date` of accepted batches; Silver holds no other rows if it was built with verdicts."""
+def dim_invest_product(silver: Silver, verified: DataFrame | None = None, keyed: KeyMaker = hashed_keys) -> DataFrame:
+    """A version is named by the snapshot that opened it. `verified` holds the `_batch_date` of accepted batches; Silver holds no other rows if it was built with verdicts."""
     snapshots = silver("invest_products")
     days = history.complete_snapshots(snapshots, "_batch_date", verified)
     versions = history.scd2_from_snapshots(snapshots, days, ["isin"], "_batch_date",
                                            ["product_name", "asset_class", "risk_level"])
-    return facts.versioned_dimension(versions, "isin", "product_sk")
-
-
-def dim_txn_profile(silver: Silver) -> DataFrame:
-    return facts.junk_dimension(silver("transactions"), PROFILE, "txn_profile_sk")
+    return keyed(versions, "isin", "valid_from", "product_sk")
 
 
 def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -193,19 +218,29 @@ def mart_bill_behaviour(bills: DataFrame, billers: DataFrame) -> DataFrame:
                                 ["customer_dk", "bill_type", "month"], "days_late")
 
 
-def mart_credit_features(scores: DataFrame, bills: DataFrame, transactions: DataFrame) -> DataFrame:
-    indexed = lambda df: df.withColumn("month_index", marts.month_index("business_date"))
-    lateness = (marts.monthly_lateness(indexed(bills), ["customer_dk", "month_index"], "days_late")
-                .withColumnRenamed("days_late_max", "dpd_max"))
+def _indexed(df: DataFrame) -> DataFrame:
+    return df.withColumn("month_index", marts.month_index("business_date"))
+
+
+def monthly_lateness(bills: DataFrame) -> DataFrame:
+    return (marts.monthly_lateness(_indexed(bills), ["customer_dk", "month_index"], "days_late")
+            .withColumnRenamed("days_late_max", "dpd_max"))
+
+
+def monthly_flows(transactions: DataFrame) -> DataFrame:
     done = F.col("status") == "completed"
     amount = lambda kind: F.sum(F.when((F.col("transaction_type") == kind) & done, F.col("amount_eur")))
-    flows = indexed(transactions).groupBy("customer_dk", "month_index").agg(
+    return _indexed(transactions).groupBy("customer_dk", "month_index").agg(
         amount("salary_in").alias("income"), amount("purchase").alias("spend"))
+
+
+def mart_credit_features(scores: DataFrame, lateness: DataFrame, flows: DataFrame) -> DataFrame:
+    """From one row per customer and month of each: the windows look back over months, so they run over these sums."""
     return marts.credit_features(scores.select("customer_dk", "month_index", "score", "risk_band"), lateness, flows, ["customer_dk"])
 
 
-def mart_invest_features(holdings: DataFrame, products: DataFrame) -> DataFrame:
-    """Month-end value per customer, asset class and month, with share and change on the month before."""
+def monthly_holdings(holdings: DataFrame, products: DataFrame) -> DataFrame:
+    """Month-end value per customer, asset class and month, with its share; each month stands for itself."""
     rows = salted_join(holdings, products.select("product_sk", "asset_class", "risk_level"), ["product_sk"], "left")
     # The month end is the last business day anyone was reported on, so a closed position counts as gone.
     last = rows.groupBy(marts.month_index("business_date").alias("month_index")).agg(F.max("business_date").alias("business_date"))
@@ -213,39 +248,11 @@ def mart_invest_features(holdings: DataFrame, products: DataFrame) -> DataFrame:
     parts = marts.allocation(ends, ["customer_dk", "month_index"], "asset_class", "market_value")
     risk = ends.groupBy("customer_dk", "month_index").agg(
         F.max("risk_level").alias("max_risk_level"), F.count_distinct("product_sk").alias("n_products"))
-    totals = parts.groupBy("customer_dk", "month_index").agg(F.sum("value").cast("decimal(38,2)").alias("total_value"))
+    return parts.join(risk, ["customer_dk", "month_index"])
+
+
+def mart_invest_features(monthly: DataFrame) -> DataFrame:
+    """Monthly holdings with each customer's total and its change on the month before."""
+    totals = monthly.groupBy("customer_dk", "month_index").agg(F.sum("value").cast("decimal(38,2)").alias("total_value"))
     change = marts.monthly_change(totals, ["customer_dk"], "month_index", "total_value").drop("total_value_recent_max")
-    return parts.join(change, ["customer_dk", "month_index"]).join(risk, ["customer_dk", "month_index"])
-
-
-def build(silver: Silver, until: str) -> None:
-    """All Gold tables, each written once and read back by those that build on it."""
-    spark, lake = silver.spark, silver.lake
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables.overwrite(df, lake.path("gold", name))
-        return spark.read.parquet(lake.path("gold", name))
-
-    mapping = silver.key_map()
-    tables.overwrite(mapping, lake.path("ops", "key_map"))
-    mapping = spark.read.parquet(lake.path("ops", "key_map"))
-    transactions = silver("transactions")
-    stubs = lambda key: transactions.select(key, "event_ts")
-    used = with_durable_customer(transactions.select("customer_id", "event_ts"), mapping)
-    customers = store("dim_customer", dim_customer(silver, mapping, used))
-    accounts = store("dim_account", dim_account(silver, stubs("account_id")))
-    merchants = store("dim_merchant", dim_merchant(silver, stubs("merchant_id")))
-    billers = store("dim_biller", dim_biller(silver))
-    products = store("dim_invest_product", dim_invest_product(silver))
-    store("dim_txn_profile", dim_txn_profile(silver))
-    store("bridge_account_customer", bridge_account_customer(silver, mapping, accounts, customers))
-    spends = store("fact_transaction", fact_transaction(silver, mapping, customers, accounts, merchants, until))
-    bills = store("fact_bill_payment", fact_bill_payment(silver, mapping, customers, billers))
-    holdings = store("fact_holding_snapshot", fact_holding_snapshot(silver, mapping, customers, products))
-    store("fact_kyc_check", fact_kyc_check(silver, mapping, customers))
-    store("fact_support_case", fact_support_case(silver, mapping, customers))
-    scores = store("fact_credit_score_snapshot", fact_credit_score_snapshot(silver, mapping, customers))
-    store("mart_spend_monthly", mart_spend_monthly(spends, merchants))
-    store("mart_bill_behaviour", mart_bill_behaviour(bills, billers))
-    store("mart_credit_features", mart_credit_features(scores, bills, spends))
-    store("mart_invest_features", mart_invest_features(holdings, products))
+    return monthly.join(change, ["customer_dk", "month_index"])

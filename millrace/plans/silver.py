@@ -1,38 +1,49 @@
 """Bronze to Silver for a range of business dates; safe to repeat, in any order."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import clean, quality
-from millrace.registry import RENAMED_FIELDS, Feed, contract_columns
+from millrace.registry import CROSS_FIELDS, DOMAINS, RENAMED_FIELDS, Feed, contract_columns
 from millrace.session import materialize
 from millrace.sources import manifests, tables
+from millrace.sources.commits import Commit, Log, Version
 from millrace.sources.files import file_name
 from millrace.streaming.bronze import read_bronze
 
 
-def accepted_files(spark: SparkSession, lake: tables.Lake, feed: Feed, start: str | None = None,
-                   end: str | None = None, verdicts: DataFrame | None = None) -> DataFrame:
-    """(_batch_date, _file, delivery_attempt) of the files the latest manifests list, within the dates.
+def log_of(spark: SparkSession, lake: tables.Lake, feed: Feed) -> Log:
+    """The feed's commit log: tables `rows`, `quarantine` and, for keys that come back, `candidates`."""
+    return Log(spark, lake.path("silver", feed.entity))
 
-    `verdicts` (business_date, accepted) keeps rejected batches out as a whole. An empty batch keeps its date
-    with a NULL file. Read once and kept: manifests may be replaced while a build runs.
+
+def announced(spark: SparkSession, lake: tables.Lake, feed: Feed, start: str | None = None,
+              end: str | None = None) -> DataFrame:
+    """(_batch_date, _file, delivery_attempt) of all files the latest manifests list, within the dates.
+
+    An empty batch keeps its date with a NULL file. Read once and kept: manifests may be replaced while a build runs.
     """
     read = manifests.read_manifests(spark, lake.landing, feed)
     if start:
         read = read.filter(F.col("business_date") >= F.lit(start).cast("date"))
     if end:
         read = read.filter(F.col("business_date") <= F.lit(end).cast("date"))
-    if verdicts is not None:
-        read = read.join(verdicts.filter("accepted").select("business_date"), "business_date", "left_semi")
     return materialize(read.select(
         F.col("business_date").alias("_batch_date"), F.coalesce("delivery_attempt", F.lit(1)).alias("delivery_attempt"),
         F.explode_outer("files.name").alias("_file")).distinct())
 
 
+def accepted_files(listed: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
+    """What `verdicts` (business_date, accepted) leave of the announced files: a rejected batch goes as a whole."""
+    if verdicts is None:
+        return listed
+    good = verdicts.filter("accepted").select(F.col("business_date").alias("_batch_date"))
+    return materialize(listed.join(good, "_batch_date", "left_semi"))
+
+
 def batch_dates(accepted: DataFrame) -> list:
     """The dates of a build: one value per date, for partition pruning."""
     return [r["_batch_date"] for r in accepted.select("_batch_date").distinct().collect()]
@@ -50,12 +61,14 @@ def unique_key(feed: Feed) -> list[str]:
     return [*feed.keys, *per_kind[feed.kind]]
 
 
-def feed_rules(feed: Feed, columns: dict[str, str], rules: Sequence[quality.Rule]) -> list[quality.Rule]:
-    """Structure and key rules every feed has, plus the given ones (which win on equal names)."""
-    general = [quality.malformed(columns),
-               *[quality.Rule(f"missing_{k}", "keys", F.col(k).isNull()) for k in feed.keys]]
+def feed_rules(feed: Feed, columns: dict[str, str], rules: Sequence[quality.Rule] = ()) -> list[quality.Rule]:
+    """The rules the registry binds to a feed (structure, keys, types, code values, fields that exclude each other), and the
+    given ones, which come first in their stage and win on equal names."""
+    general = quality.contract_rules(columns, feed.keys, DOMAINS.get(feed.entity, {}))
+    if feed.entity in CROSS_FIELDS:
+        general += quality.cross_field_rules(*CROSS_FIELDS[feed.entity])
     named = {r.name for r in rules}
-    return [*[r for r in general if r.name not in named], *rules]
+    return [*rules, *[r for r in general if r.name not in named]]
 
 
 def judged_rows(spark: SparkSession, lake: tables.Lake, feed: Feed, accepted: DataFrame, days: list,
@@ -69,54 +82,52 @@ def judged_rows(spark: SparkSession, lake: tables.Lake, feed: Feed, accepted: Da
 
 def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[quality.Rule] = (),
           start: str | None = None, end: str | None = None, version: str = "1.0",
-          verdicts: DataFrame | None = None) -> None:
-    """Typed, ruled, quarantined and deduplicated rows of the range, written as whole partitions.
+          verdicts: DataFrame | None = None) -> Version:
+    """Typed, ruled, quarantined and deduplicated rows of the range, written as whole partitions in one commit.
 
     Every date of the range is computed from Bronze again, so late, repeated and corrected deliveries end in
-    the table an in-order delivery would have produced, however the dates are dealt to calls. All tables are
-    partitioned by batch date.
+    the table an in-order delivery would have produced, however the dates are dealt to calls. Dates of the range without
+    an accepted batch (rejected since, or taken back) end without rows. All tables are partitioned by batch date, and
+    nothing shows until all are written: a run that fails changes nothing.
     """
-    accepted = accepted_files(spark, lake, feed, start, end, verdicts)
-    days = batch_dates(accepted)
-    touched = {str(d) for d in days}
-    judged = judged_rows(spark, lake, feed, accepted, days, rules, version)
-    bad = judged.filter(F.col("reason").isNotNull())
-    tables.replace_range(bad, lake.path("silver", f"quarantine/{feed.entity}"), "_batch_date", touched)
+    commit = log_of(spark, lake, feed).begin()
+    listed = announced(spark, lake, feed, start, end)
+    accepted = accepted_files(listed, verdicts)
+    held = {v for t in commit.base.tables for v in commit.base.values(t) if (start or v) <= v <= (end or v)}
+    touched = {str(d) for d in batch_dates(listed)} | held
+    judged = tables.staged(judged_rows(spark, lake, feed, accepted, batch_dates(accepted), rules, version))
+    commit.replace("quarantine", judged.filter(F.col("reason").isNotNull()), "_batch_date", touched)
     good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
-    key, target = unique_key(feed), lake.path("silver", feed.entity)
+    key = unique_key(feed)
     if "_batch_date" in key:  # a date's rows have no rivals in other dates
-        best = clean.winners(good, key, clean.delivery_order(good))
-        tables.replace_range(best, target, "_batch_date", touched)
+        commit.replace("rows", clean.winners(good, key, clean.delivery_order(good)), "_batch_date", touched)
     else:
-        across_dates(spark, lake, feed, good, key, touched, version)
+        across_dates(commit, good, key, touched, fields_of(silver_columns(feed, version)), clean.delivery_order(good))
+    return commit.finish(start=start, end=end)
 
 
-def across_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, good: DataFrame, key: list[str], touched: set[str],
-                 version: str) -> None:
-    """Silver holds the winner of each key over all dates, whatever was built when.
+def across_dates(commit: Commit, good: DataFrame, key: list[str], touched: set[str], schema: str, order: list[Column],
+                 partition: str = "_batch_date") -> None:
+    """`rows` holds the winner of each key over all partitions, whatever was built when.
 
-    Every good row stays in `silver/candidates`. Keys that the touched dates held or hold now meet their rivals in other
-    dates there; dates of rivals are rewritten too, all other keys in them as they are.
+    Every good row stays in `candidates`. Keys that the touched partitions held or hold now meet their rivals of other
+    partitions there; partitions of rivals are rewritten too, all other keys in them as they are.
     """
-    target, store = lake.path("silver", feed.entity), lake.path("silver", f"candidates/{feed.entity}")
-    fields = ", ".join(f"`{c}` {t}" for c, t in silver_columns(feed, version).items())
-    inside = F.col("_batch_date").cast("string").isin(sorted(touched))
     now = tables.staged(good)
-    if not tables.table_exists(spark, store):
-        tables.replace_range(now, store, "_batch_date", touched)
-        tables.replace_range(clean.winners(now, key, clean.delivery_order(now)), target, "_batch_date", touched)
+    others = commit.base.values("candidates") - touched
+    was = commit.read("candidates", touched, schema)
+    commit.replace("candidates", now, partition, touched)
+    if not others:
+        commit.replace("rows", clean.winners(now, key, order), partition, touched)
         return
-    held = spark.read.schema(fields).parquet(store)
-    keys = tables.staged(now.select(*key).unionByName(held.filter(inside).select(*key)).distinct())
-    rivals = tables.staged(held.filter(~inside).join(keys, key, "left_semi"))
-    dates = {str(r["_batch_date"]) for r in rivals.select("_batch_date").distinct().collect()}
-    rows = now.unionByName(rivals)
-    best = clean.winners(rows, key, clean.delivery_order(rows))
+    keys = tables.staged(now.select(*key).unionByName(was.select(*key)).distinct())
+    rivals = tables.staged(commit.read("candidates", others, schema).join(keys, key, "left_semi"))
+    dates = {str(r[0]) for r in rivals.select(F.col(partition).cast("string")).distinct().collect()}
+    rows = clean.winners(now.unionByName(rivals), key, order)
     if dates:
-        others = read_silver(spark, lake, feed, version).filter(F.col("_batch_date").cast("string").isin(sorted(dates)))
-        best = tables.staged(best.unionByName(others.join(keys, key, "left_anti").select(*best.columns)))
-    tables.replace_range(now, store, "_batch_date", touched)
-    tables.replace_range(best, target, "_batch_date", touched | dates)
+        rest = commit.read("rows", dates, schema).join(keys, key, "left_anti")
+        rows = rows.unionByName(rest.select(*rows.columns))
+    commit.replace("rows", rows, partition, touched | dates)
 
 
 def rebuild_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, dates: DataFrame, **options) -> None:
@@ -132,15 +143,22 @@ def silver_columns(feed: Feed, version: str = "1.0") -> dict[str, str]:
             "delivery_attempt": "int", "_batch_date": "date"}
 
 
-def read_silver(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0") -> DataFrame:
-    """Under the contract's schema: columns a later version added read NULL in older files."""
-    fields = ", ".join(f"`{c}` {t}" for c, t in silver_columns(feed, version).items())
-    return spark.read.schema(fields).parquet(lake.path("silver", feed.entity))
+def fields_of(columns: dict[str, str]) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in columns.items())
+
+
+def read_silver(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0", at: Version | None = None,
+                values: Iterable[str] | None = None) -> DataFrame:
+    """Under the contract's schema: columns a later version added read NULL in older files. `at` pins a commit (default:
+    the last one), `values` are batch dates."""
+    log = log_of(spark, lake, feed)
+    return log.read("rows", at or log.current(), values, fields_of(silver_columns(feed, version)))
 
 
-def read_quarantine(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0") -> DataFrame:
+def read_quarantine(spark: SparkSession, lake: tables.Lake, feed: Feed, version: str = "1.0",
+                    at: Version | None = None) -> DataFrame:
     """Typed values, the texts they came from, the reason, and the raw line of a malformed record."""
     texts = quality.source_texts(contract_columns(feed, version))
     columns = {**{t: "string" for t in texts}, **silver_columns(feed, version), "_raw": "string", "reason": "string"}
-    fields = ", ".join(f"`{c}` {t}" for c, t in columns.items())
-    return spark.read.schema(fields).parquet(lake.path("silver", f"quarantine/{feed.entity}"))
+    log = log_of(spark, lake, feed)
+    return log.read("quarantine", at or log.current(), schema=fields_of(columns))

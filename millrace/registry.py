@@ -101,6 +101,8 @@ DOMAINS = {
         "status": ["opened", "in_progress", "resolved"]},
     "credit_scores": {"risk_band": ["A", "B", "C", "D", "E"]},
 }
+#: Feeds with fields that only some kinds of row use, and the column that names the kind.
+CROSS_FIELDS = {"transactions": ("transaction_type",)}
 OUTGOING = ["purchase", "bill_payment", "transfer_out"]
 ACCOUNT_TYPES_BY_METHOD = {
     "credit_card": ["credit_card"], "debit_card": ["current"], "bank_transfer": ["current"],

@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,47 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def list_modified(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, time of change in milliseconds) of what matches a glob."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return [(s.getPath().toString(), s.getModificationTime()) for s in found] if found else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of one small control file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates one small control file whole, or returns False if it exists: written aside, then renamed without
+    overwriting, so nobody sees half of it and only one of several writers gets the name."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(aside)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(aside), system.makeQualified(target), options)
+    except Py4JJavaError as failed:
+        if not system.exists(target):
+            raise
+        system.delete(aside, False)
+        if failed.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 def opener():
     """uri -> (Arrow file system, path), for use inside tasks.
 

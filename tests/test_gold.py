@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import facts, quality
-from millrace.plans import bank_checks, bronze_run, gold, silver
+from millrace.plans import bank_checks, bronze_run, gold, gold_run, silver
 from millrace.registry import BY_ENTITY, DOMAINS, FEEDS
 from millrace.sources.tables import Lake
 from millrace.streaming import bronze
@@ -104,8 +104,8 @@ def whole_bank(spark, lake, order=None, spoil=None):
         bronze_run.run(spark, lake, run_id="r", gate=False)
     for feed in FEEDS:
         silver.build(spark, lake, feed, rules(feed))
-    gold.build(gold.Silver(spark, lake), str(D[-1]))
-    return lambda name: spark.read.parquet(lake.path("gold", name))
+    gold_run.build(gold.Silver(spark, lake), str(D[-1]))
+    return lambda name: gold_run.read(spark, lake, name)
 
 
 @pytest.fixture(scope="module")
