@@ -87,7 +87,8 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
 
     Every date of the range is computed from Bronze again, so late, repeated and corrected deliveries end in
     the table an in-order delivery would have produced, however the dates are dealt to calls. Dates of the range without
-    an accepted batch (rejected since, or taken back) end without rows. All tables are partitioned by batch date, and
+    an accepted batch (rejected since, or taken back) end without rows; dates whose rows come out as they were keep
+    their files, so a version differs from the one before in what changed. All tables are partitioned by batch date, and
     nothing shows until all are written: a run that fails changes nothing.
     """
     commit = log_of(spark, lake, feed).begin()
@@ -100,7 +101,7 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
     key = unique_key(feed)
     if "_batch_date" in key:  # a date's rows have no rivals in other dates
-        commit.replace("rows", clean.winners(good, key, clean.delivery_order(good)), "_batch_date", touched)
+        commit.replace("rows", clean.winners(good, key, clean.delivery_order(good)), "_batch_date", touched, settle=True)
     else:
         across_dates(commit, good, key, touched, fields_of(silver_columns(feed, version)), clean.delivery_order(good))
     return commit.finish(start=start, end=end)
@@ -118,7 +119,7 @@ def across_dates(commit: Commit, good: DataFrame, key: list[str], touched: set[s
     was = commit.read("candidates", touched, schema)
     commit.replace("candidates", now, partition, touched)
     if not others:
-        commit.replace("rows", clean.winners(now, key, order), partition, touched)
+        commit.replace("rows", clean.winners(now, key, order), partition, touched, settle=True)
         return
     keys = tables.staged(now.select(*key).unionByName(was.select(*key)).distinct())
     rivals = tables.staged(commit.read("candidates", others, schema).join(keys, key, "left_semi"))
@@ -127,7 +128,7 @@ def across_dates(commit: Commit, good: DataFrame, key: list[str], touched: set[s
     if dates:
         rest = commit.read("rows", dates, schema).join(keys, key, "left_anti")
         rows = rows.unionByName(rest.select(*rows.columns))
-    commit.replace("rows", rows, partition, touched | dates)
+    commit.replace("rows", rows, partition, touched | dates, settle=True)
 
 
 def rebuild_dates(spark: SparkSession, lake: tables.Lake, feed: Feed, dates: DataFrame, **options) -> None:

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.sources import files
@@ -36,6 +37,7 @@ class Version:
     number: int = 0
     tables: dict[str, dict[str, str]] = field(default_factory=dict)
     schemas: dict[str, str] = field(default_factory=dict)
+    digests: dict[str, dict[str, str]] = field(default_factory=dict)
     notes: dict = field(default_factory=dict)
 
     def values(self, table: str) -> set[str]:
@@ -73,7 +75,7 @@ class Log:
             return Version()
         text = files.read_small(self.spark, f"{self.root}/commits/{number:012d}.json")
         stored = json.loads(text)
-        return Version(number, stored["tables"], stored["schemas"], stored["notes"])
+        return Version(number, stored["tables"], stored["schemas"], stored["digests"], stored["notes"])
 
     def current(self) -> Version:
         return self.version(max(self.numbers(), default=0))
@@ -117,9 +119,15 @@ class Commit:
         self.log, self.base = log, base
         self.tables = {t: dict(held) for t, held in base.tables.items()}
         self.schemas = dict(base.schemas)
+        self.digests = {t: dict(held) for t, held in base.digests.items()}
 
-    def replace(self, table: str, df: DataFrame, partition: str, touched: Iterable[str] | None = None) -> None:
-        """Partitions present in `df` are replaced; those of `touched` without rows are gone; all others stay."""
+    def replace(self, table: str, df: DataFrame, partition: str, touched: Iterable[str] | None = None,
+                settle: bool = False) -> None:
+        """Partitions present in `df` are replaced; those of `touched` without rows are gone; all others stay.
+
+        With `settle` what was written is read once more for a digest of each partition's rows, and a partition whose
+        rows are those it had keeps its folder: computed again is not changed.
+        """
         write = new_write()
         path = f"{self.log.root}/{table}/{write}"
         write_folder(df, path, partition)
@@ -131,6 +139,24 @@ class Commit:
         for folder in files.list_files(self.log.spark, f"{path}/{partition}=*"):
             name = folder.rstrip("/").rsplit("/", 1)[1]
             held[unquote(name.split("=", 1)[1])] = f"{write}/{name}"
+        if settle:
+            self._settle(table, partition, write)
+
+    def _settle(self, table: str, partition: str, write: str) -> None:
+        held, known = self.tables[table], self.digests.setdefault(table, {})
+        written = {v for v, folder in held.items() if folder.startswith(f"{write}/")}
+        rows = self.read(table, written)
+        mixed = F.xxhash64(*[c for c in rows.columns if c != partition])
+        digests = rows.groupBy(F.coalesce(F.col(partition).cast("string"), F.lit(NULL)).alias("value")).agg(
+            F.concat_ws(":", F.count(F.lit(1)), F.sum(mixed.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(mixed))).alias("digest"))
+        before = self.base.tables.get(table, {})
+        for value, digest in digests.collect():               # one row per partition
+            if digest == known.get(value) and value in before:
+                files.remove_folder(self.log.spark, f"{self.log.root}/{table}/{held[value]}")
+                held[value] = before[value]
+            known[value] = digest
+        for value in known.keys() - held.keys():
+            del known[value]
 
     def put(self, table: str, df: DataFrame, value: str = WHOLE) -> None:
         """A table without partitions, written whole; with `value`, one more part of such a table."""
@@ -145,7 +171,7 @@ class Commit:
 
     @property
     def so_far(self) -> Version:
-        return Version(self.base.number, self.tables, self.schemas)
+        return Version(self.base.number, self.tables, self.schemas, self.digests)
 
     def read(self, table: str, values: Iterable[str] | None = None, schema: str | None = None) -> DataFrame:
         """A table as this run has left it so far."""
@@ -154,7 +180,7 @@ class Commit:
     def finish(self, **notes) -> Version:
         """Makes all writes visible at once, or raises CommitConflict."""
         number = self.base.number + 1
-        text = json.dumps({"tables": self.tables, "schemas": self.schemas, "notes": notes}, sort_keys=True)
+        text = json.dumps({"tables": self.tables, "schemas": self.schemas, "digests": self.digests, "notes": notes}, sort_keys=True)
         if not files.write_new(self.log.spark, f"{self.log.root}/commits/{number:012d}.json", text):
             raise CommitConflict(f"version {number} of {self.log.root} was committed by another run")
-        return Version(number, self.tables, self.schemas, notes)
+        return Version(number, self.tables, self.schemas, self.digests, notes)
