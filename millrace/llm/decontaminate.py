@@ -60,10 +60,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
     """One row per row of `docs`: doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), contaminated.
 
     A word is hit if it lies inside an occurrence of a window; n_items counts the items with such windows. Null and
-    empty texts have no words. Rows that repeat an id count as one document: hits are those of all of them. Items
-    without an id hit but are not counted. Other columns are not read.
+    empty texts have no words. Rows that repeat an id are judged each by its own text. Items without an id hit but are
+    not counted. Other columns are not read.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return judged(docs, items, window, gram, id_col, text_col, item_col, item_text_col).drop("text_hash")
+
+
+def judged(docs: DataFrame, items: DataFrame, window: int, gram: int, id_col: str, text_col: str, item_col: str,
+           item_text_col: str) -> DataFrame:
+    """What `contamination` returns, with text_hash. Inside, a document is its id and a hash of its text."""
+    own = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")).alias("doc_id"),
+                      F.col(text_col).alias("text"))
     bench = stored(items.select(F.col(item_col).alias("item_id"), words(item_text_col).alias("words"))
                    .where(F.size("words") > 0), "benchmark")
     short = sorted(r["n"] for r in bench.select(F.size("words").alias("n")).where(F.col("n") < window)
@@ -107,14 +114,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
     counted = own.select("doc_id", F.size(words("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return (counted.join(marked, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.col("doc_id.id").alias("doc_id"), F.col("doc_id.hash").alias("text_hash"), "n_words",
+        F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", none).alias("item_ids"))
         .withColumn("contaminated", F.col("n_hit") > 0))
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose id has no hit."""
-    hit = stored(contamination(docs, items, id_col=id_col, text_col=text_col).where("contaminated")
-                 .select(F.col("doc_id").alias("_hit_id")).distinct(), "contaminated")
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["_hit_id"]), "left_anti")
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 10,
+               gram: int = 5) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose own text has no hit."""
+    found = judged(docs, items, window, gram, id_col, text_col, "item_id", "text").where("contaminated")
+    hit = stored(found.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct(), "contaminated")
+    return docs.join(hit, docs[id_col].eqNullSafe(hit["_hit_id"]) & (F.xxhash64(docs[text_col]) == hit["_hit_hash"]), "left_anti")

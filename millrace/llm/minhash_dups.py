@@ -29,7 +29,6 @@ from millrace.llm.graph import components
 from millrace.llm.vector_dups import forest
 
 MIX = 0x9E3779B97F4A7C15
-_WORDS: dict = {}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -37,14 +36,18 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def shingles(text: str, size: int = 5) -> np.ndarray:
+def word_hashes() -> Memo:
+    """Hashes of words, remembered by one task: a worker that goes on to other work does not keep them."""
+    return Memo(xxhash.xxh3_64_intdigest, 300_000)
+
+
+def shingles(text: str, size: int = 5, known: Memo | None = None) -> np.ndarray:
     """Sorted distinct hashes of all runs of `size` words; of the whole text if it has fewer words, none if none."""
-    if "" not in _WORDS:
-        _WORDS[""] = Memo(xxhash.xxh3_64_intdigest, 300_000)
+    known = word_hashes() if known is None else known
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    h = np.array(list(map(_WORDS[""].__getitem__, words)), np.uint64)
+    h = np.array(list(map(known.__getitem__, words)), np.uint64)
     n = min(size, len(words))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - n + 1, n, np.uint64)
@@ -105,10 +108,12 @@ def far_bits(similarity: float, samples: int, bits: int) -> float:
 def signatures(docs: DataFrame, id_col: str, text_col: str, sketcher: Sketcher, size: int) -> DataFrame:
     """doc_id, n_shingles, key (a 128-bit hash of the set), bands, sketch. Sets that are empty have no bands."""
     def make():
+        known = word_hashes()
+
         def work(ids, texts):
             n, keys, bands, sketches = [], [], [], []
             for text in texts:
-                hashes = shingles(text or "", size)
+                hashes = shingles(text or "", size, known)
                 n.append(len(hashes))
                 if len(hashes):
                     samples = sketcher.samples(hashes)
@@ -161,8 +166,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
            .join(wanted, "doc_id", "left_semi"))
 
     def make():
+        known = word_hashes()
+
         def work(ids, texts):
-            return ids, [shingles(t or "", size).tobytes() for t in texts]
+            return ids, [shingles(t or "", size, known).tobytes() for t in texts]
         return work
 
     return map_arrow(own, ["doc_id", "text"], make, "doc_id long, hashes binary")
@@ -334,14 +341,32 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, siz
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near copies, all columns as they are: that of the smallest id. Rows that repeat an id
-    count as copies too; rows without an id stay. Only ids that go are joined, so no text moves where they are few."""
-    found = stored(near_copies(docs, id_col, text_col).select("doc_id", "kept"), "near-copies")
-    gone = stored(found.where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "gone")
-    left = docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
-    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-                   .select(F.col("doc_id").alias("_again_id")), "again")
+    """One row of each group of near copies, all columns as they are: that of the smallest id.
+
+    A document is an id with its text. Rows that repeat both are one document, of which one row stays. Where different
+    texts carry one id, each is judged by itself; all but the first of them, by a hash of the text, rank behind every other
+    id. Rows without an id stay, and so do texts without words. Only documents that go are joined, by id and hash, so no
+    text moves where they are few.
+    """
+    digest = F.xxhash64(text_col)
+    seen = stored(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"), digest.alias("hash")).count(), "seen")
+    several = seen.groupBy("id").agg(F.min("hash").alias("first"), F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    twins = stored(seen.join(several, "id").where("hash != first").select("id", "hash", F.monotonically_increasing_id().alias("place")), "twins")
+    last = seen.agg(F.max("id")).first()[0] or 0
+    own = docs.select(F.col(id_col).alias("id"), digest.alias("hash"), F.col(text_col).alias("text"))
+    if twins.isEmpty():
+        own, nodes = own.withColumnRenamed("id", "doc_id"), seen.withColumnRenamed("id", "doc_id").withColumn("id", F.col("doc_id"))
+    else:
+        node = F.coalesce(F.col("place") + last + 1, "id").alias("doc_id")
+        own = own.join(twins, ["id", "hash"], "left").select(node, "hash", "text")
+        nodes = seen.join(twins, ["id", "hash"], "left").select(node, "id", "hash", "count")
+    found = stored(near_copies(own).select("doc_id", "kept"), "near-copies")
+    gone = found.where("not kept").select("doc_id").distinct()
+    gone = stored(nodes.join(gone, "doc_id", "left_semi").select(F.col("id").alias("_gone_id"), F.col("hash").alias("_gone_hash")), "gone")
+    left = docs.join(gone, (docs[id_col] == gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_hash"]), "left_anti")
+    again = stored(seen.where("count > 1").select(F.col("id").alias("_again_id"), F.col("hash").alias("_again_hash")), "again")
     if again.isEmpty():
         return left
-    repeated = left.join(again, left[id_col] == again["_again_id"], "left_semi").dropDuplicates([id_col])
-    return left.join(again, left[id_col] == again["_again_id"], "left_anti").unionAll(repeated)
+    same = (left[id_col] == again["_again_id"]) & (F.xxhash64(left[text_col]) == again["_again_hash"])
+    repeated = left.join(again, same, "left_semi").withColumn("_again_hash", digest).dropDuplicates([id_col, "_again_hash"])
+    return left.join(again, same, "left_anti").unionAll(repeated.drop("_again_hash"))

@@ -229,7 +229,7 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_all_operators_and_the_pipeline_are_registered():
     own = entry.queries()
-    assert {n.split("_")[0] for n in own if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in own if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert own["pipeline"] is corpus_pipeline.run and [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "quality", "near_duplicates", "decontamination", "bpe"]
 
@@ -260,3 +260,32 @@ def test_near_copy_stage_with_repeated_and_missing_ids(spark):
     rows = [(1, text), (1, text), (2, text), (3, "other words here"), (None, text), (None, None)]
     kept = minhash_dups.keep_first(frame(spark, rows))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None", "None"]
+
+
+def test_texts_under_one_id_are_judged_each_by_itself(spark):
+    """A copy under id 1 takes no clean text of id 1 along; nor do links of one text join the other's group."""
+    text, other = " ".join(prose(3, 60)), " ".join(prose(4, 60))
+    rows = [(0, text), (1, text), (1, other), (2, other + " end"), (3, "few words"), (3, "few other words"), (None, text)]
+    kept = minhash_dups.keep_first(frame(spark, rows))
+    got = sorted(str((r["doc_id"], r["text"])) for r in kept.collect())
+    first, second = (0, text), {str((1, other)), str((2, other + " end"))}
+    assert str(first) in got and str((1, text)) not in got and len(second & set(got)) == 1
+    assert {str((3, "few words")), str((3, "few other words")), str((None, text))} <= set(got) and len(got) == 5
+
+    passage = " ".join(prose(5, 12))
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    docs = frame(spark, [(1, "a b " + passage), (1, "clean words only"), (2, "x " + passage), (None, passage), (None, "clean too")])
+    got = {(r["doc_id"], r["n_words"], r["n_hit"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {(1, 14, 12), (1, 3, 0), (2, 13, 12), (None, 12, 12), (None, 2, 0)}
+    clean = decontaminate.keep_clean(docs, items)
+    assert clean.columns == docs.columns
+    assert sorted(str((r["doc_id"], r["text"])) for r in clean.collect()) == ["(1, 'clean words only')", "(None, 'clean too')"]
+
+
+def test_stages_take_empty_tables_nulls_and_clashing_columns(spark):
+    items = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
+    for rows, documents in (([], 0), ([(1, None), (2, ""), (None, None), (1, None)], 3)):
+        docs = frame(spark, rows)
+        first, clean = minhash_dups.keep_first(docs), decontaminate.keep_clean(docs, items)
+        assert first.columns == clean.columns == docs.columns
+        assert (first.count(), clean.count()) == (documents, len(rows))
