@@ -11,6 +11,19 @@ from millrace.llm import bpe_prefix, decontaminate, minhash_dups, quality_cnn, q
 from millrace.llm.common import stored, table
 
 
+#: What Spark hands to a Python worker at once; both sides hold whole batches, and a text is some kB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def lean(stage):
+    """A stage with small Arrow batches; the setting stays with the session, for stages are computed when they are read."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity lexicon, learned from the labels of these documents, does not reject."""
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -36,8 +49,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.bpe_digests(bpe_prefix.encode_decode(docs, queries.tokenizer_path("word_bpe_49k.json")))
 
 
-STAGES = [("toxicity", not_toxic), ("quality", good), ("near_duplicates", one_of_copies),
-          ("decontamination", not_in_benchmark), ("bpe", encoded)]
+STAGES = [("toxicity", lean(not_toxic)), ("quality", lean(good)), ("near_duplicates", lean(one_of_copies)),
+          ("decontamination", lean(not_in_benchmark)), ("bpe", lean(encoded))]
 
 #: Two stages are learned models, which SQL does not express.
 ORACLE_SQL = None
