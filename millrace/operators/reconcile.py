@@ -67,18 +67,23 @@ def without_manifest(bronze: DataFrame, manifests: DataFrame) -> DataFrame:
     return stored.join(manifests.select(F.col("business_date").alias("batch_date")), "batch_date", "left_anti")
 
 
-def control_totals(rows: DataFrame, batch_keys: Sequence[str], amount: str,
-                   currency: str | None = None) -> DataFrame:
-    """(batch keys, currency, total DECIMAL(38,2)) over all records whose amount is a number.
+def control_sums(rows: DataFrame, keys: Sequence[str], amount: str, currency: str | None = None) -> DataFrame:
+    """(keys, currency, total DECIMAL(38,6)) over all records whose amount is a number; not rounded, so sums of files add up to
+    those of batches.
 
     Kept as rows: a corrupt currency field may hold any number of values.
     """
     value = F.col(amount).try_cast("decimal(38,6)")
     name = F.coalesce(F.col(currency).cast("string"), F.lit("None")) if currency else F.lit("ALL")
-    return (rows.select(*batch_keys, name.alias("currency"), value.alias("_value"))
+    return (rows.select(*keys, name.alias("currency"), value.alias("_value"))
             .filter(F.col("_value").isNotNull())
-            .groupBy(*batch_keys, "currency")
-            .agg(F.round(F.sum("_value"), 2).cast("decimal(38,2)").alias("total")))
+            .groupBy(*keys, "currency").agg(F.sum("_value").cast("decimal(38,6)").alias("total")))
+
+
+def control_totals(rows: DataFrame, batch_keys: Sequence[str], amount: str,
+                   currency: str | None = None) -> DataFrame:
+    """(batch keys, currency, total DECIMAL(38,2)) over all records whose amount is a number."""
+    return control_sums(rows, batch_keys, amount, currency).withColumn("total", F.round("total", 2).cast("decimal(38,2)"))
 
 
 def verify_totals(announced: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:

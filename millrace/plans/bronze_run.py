@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import reconcile as checks
 from millrace.registry import FEEDS, Feed
+from millrace.session import materialize
 from millrace.sources import files, manifests, tables
+from millrace.sources.commits import Log
 from millrace.sources.files import exists
 from millrace.streaming.bronze import batch_date, ingest, read_bronze
 
@@ -60,29 +62,73 @@ def reconcile_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed
     return checks.reconcile_files(stored, wanted, run_id)
 
 
-def verify_feed(spark: SparkSession, lake: tables.Lake, feed: Feed, landing_root: str | None = None) -> DataFrame:
-    """One verdict per batch from its files' counts and checksums and its rows' control totals.
+FILE_STATE = ("path string, modified bigint, bytes bigint, business_date date, file_name string, sha256 string, records bigint, "
+              "sums array<struct<currency:string,total:decimal(38,6)>>")
 
-    Rows are counted in Bronze; the landing files are read once, for their digests.
+
+def state_log(spark: SparkSession, lake: tables.Lake, feed: Feed) -> Log:
+    """What is known of a feed's delivered files (table `files`): digest, Bronze rows and sums of amounts, once a file."""
+    return Log(spark, lake.path("ops", f"files/{feed.entity}"))
+
+
+def learned_files(spark: SparkSession, lake: tables.Lake, feed: Feed, listed: DataFrame, landing_root: str) -> DataFrame:
+    """FILE_STATE of all listed files that are there.
+
+    Files that the state holds under their path, time of change and size are not opened again; of Bronze only the batch
+    dates of the others are read. What is learned is committed, but for files whose rows Bronze does not hold yet.
     """
-    read, listed = _listing(spark, landing_root or lake.landing, feed)
-    paths = listed.filter(F.col("file_name").isNotNull()).select(F.concat_ws("/", "folder", "file_name").alias("path"))
-    shas = files.digests(paths).filter(F.col("sha256").isNotNull()).select(
-        batch_date("path").alias("business_date"), files.file_name("path").alias("file_name"), "sha256")
+    commit = state_log(spark, lake, feed).begin()
+    known = commit.read("files", schema=FILE_STATE)
+    paths = listed.filter(F.col("file_name").isNotNull()).select(F.concat_ws("/", "folder", "file_name").alias("path")).distinct()
+    there = files.glob_stats(spark, f"{feed.under(landing_root)}/*/*/*/part-*").join(paths, "path", "left_semi")
+    key = ["path", "modified", "bytes"]
+    new = materialize(there.join(known.select(*key), key, "left_anti"))
+    if new.isEmpty():
+        return known.join(there.select(*key), key, "left_semi")
+    shas = files.digests(new.select("path")).filter(F.col("sha256").isNotNull()).select(
+        "path", batch_date("path").alias("business_date"), files.file_name("path").alias("file_name"), "sha256")
+    days = [r[0] for r in new.select(batch_date("path")).distinct().collect()]
     amounts = [c for c in (feed.amount, feed.currency) if c]
-    rows = read_bronze(spark, lake, feed).select(
+    rows = read_bronze(spark, lake, feed).filter(F.col("_batch_date").isin(days)).select(
         F.col("_batch_date").alias("business_date"), files.file_name("_source_file").alias("file_name"), *amounts)
-    counts = rows.groupBy("business_date", "file_name").agg(F.count(F.lit(1)).alias("records"))
+    on = ["business_date", "file_name"]
+    fresh = new.join(shas, "path").join(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("records")), on, "left")
+    if feed.amount:
+        sums = checks.control_sums(rows, on, feed.amount, feed.currency).groupBy(*on).agg(
+            F.collect_list(F.struct("currency", "total")).alias("sums"))     # one entry a currency of a file
+        fresh = fresh.join(sums, on, "left")
+    else:
+        fresh = fresh.withColumn("sums", F.lit(None).cast("array<struct<currency:string,total:decimal(38,6)>>"))
+    fresh = materialize(fresh.select(known.columns))
+    whole = fresh.filter(F.col("records").isNotNull() | (F.col("bytes") == 0))
+    if not whole.isEmpty():
+        commit.put("files", whole, value=f"{commit.base.number + 1:012d}")
+        commit.finish()
+    return known.join(there.select(*key), key, "left_semi").unionByName(fresh)
+
+
+def verify_feed(spark: SparkSession, lake: tables.Lake, feed: Feed, landing_root: str | None = None,
+                start: str | None = None, end: str | None = None) -> DataFrame:
+    """One verdict per batch (of an inclusive range of business dates) from its files' counts and checksums and its rows'
+    control totals.
+
+    Rows are counted in Bronze and files read for their digests once in their life: see `learned_files`.
+    """
+    root = landing_root or lake.landing
+    read, listed = _listing(spark, root, feed)
+    for edge, inside in ((start, F.col("business_date") >= F.lit(start).cast("date")), (end, F.col("business_date") <= F.lit(end).cast("date"))):
+        if edge:
+            read, listed = read.filter(inside), listed.filter(inside)
+    state = learned_files(spark, lake, feed, listed, root)
     # A file without lines has no rows to count, yet it was delivered.
-    delivered = (shas.distinct().join(counts, ["business_date", "file_name"], "left")
-                 .withColumn("records", F.coalesce("records", F.lit(0))))
+    delivered = state.select("business_date", "file_name", "sha256", F.coalesce("records", F.lit(0)).alias("records"))
     totals = None
     if feed.amount:
-        effective = manifests.effective_rows(rows, listed, ["business_date", "file_name"])
-        totals = checks.verify_totals(
-            checks.manifest_totals(read),
-            checks.control_totals(effective, ["business_date"], feed.amount, feed.currency),
-            ["business_date", "currency"])
+        effective = manifests.effective_rows(state.select("business_date", "file_name", F.explode("sums").alias("s")), listed,
+                                             ["business_date", "file_name"])
+        actual = effective.groupBy("business_date", F.col("s.currency").alias("currency")).agg(
+            F.round(F.sum("s.total"), 2).cast("decimal(38,2)").alias("total"))
+        totals = checks.verify_totals(checks.manifest_totals(read), actual, ["business_date", "currency"])
     return checks.verify_batches(listed, delivered, ["business_date"], totals)
 
 

@@ -52,6 +52,14 @@ def list_modified(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return [(s.getPath().toString(), s.getModificationTime()) for s in found] if found else []
 
 
+def glob_stats(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, modified, bytes) of the files that match a glob, from the file system's listing; no content is read."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+    return spark.createDataFrame([(s.getPath().toString(), s.getModificationTime(), s.getLen()) for s in found],
+                                 "path string, modified bigint, bytes bigint")
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """The text of one small control file."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -209,3 +209,30 @@ def test_an_update_equals_a_full_build_and_touches_only_what_changed(spark, lake
     assert set(whole.tables) == set(third.tables)
     for table in whole.tables:
         assert rows(gold_run.read(spark, lake, table, third)) == rows(gold_run.read(spark, lake, table, whole)), table
+
+
+def test_verification_opens_each_file_once(spark, lake, monkeypatch):
+    """The second run opens the new file alone, and its verdicts are those of a run that knows nothing."""
+    opened = []
+    digests = files.digests
+    monkeypatch.setattr(files, "digests", lambda paths: (opened.extend(r["path"] for r in paths.collect()), digests(paths))[1])
+    plain = lambda df: sorted(map(str, df.drop("total_differences").collect()))
+    bank.all_transactions(lake.landing, D[:2])
+    bronze.ingest(spark, lake, TXN, "r")
+    assert all(r["accepted"] for r in bronze_run.verify_feed(spark, lake, TXN).collect()) and len(opened) == 2
+    bank.deliver(lake.landing, "transactions", D[2], bank.transactions(D[2]), amount_totals={"EUR": "1.00"})
+    bronze.ingest(spark, lake, TXN, "r2")
+    opened.clear()
+    got = bronze_run.verify_feed(spark, lake, TXN)
+    assert {r["business_date"]: r["reason"] for r in got.collect()} == {D[0]: None, D[1]: None, D[2]: "control_total"}
+    assert [p.rsplit("/", 2)[1] for p in opened] == ["16"]
+    opened.clear()
+    again = bronze_run.verify_feed(spark, lake, TXN, start=str(D[1]))
+    assert {r["business_date"] for r in again.collect()} == {D[1], D[2]} and not opened
+    monkeypatch.setattr(bronze_run, "state_log", lambda spark, lake, feed: commits.Log(spark, lake.path("ops", "elsewhere")))
+    assert plain(bronze_run.verify_feed(spark, lake, TXN)) == plain(got) and len(opened) == 3
+    # A file that is overwritten in place is opened again.
+    bank.put_file(lake.landing, TXN, D[0], bank.transactions(D[0])[:1])
+    opened.clear()
+    changed = {r["business_date"]: r["reason"] for r in bronze_run.verify_feed(spark, lake, TXN).collect()}
+    assert changed[D[0]] == "checksum" and len(opened) == 1
