@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -189,6 +190,45 @@ def completeness(expected: DataFrame, arrived: DataFrame, keys: Sequence[str] =
             .select(*keys, F.when(F.col("_a").isNull(), "missing").otherwise("unexpected").alias("finding")))
 
 
+WHOLE_BATCH = "*"
+
+
+def batch_sums(rows: DataFrame, on: str, amount: Column, currency: Column, **counted: Column) -> DataFrame:
+    """(on, currency, total, counts...) of each batch by currency, and of the batch as a whole under currency `*` (no total).
+
+    One scan and one shuffle: both levels are grouping sets over partial sums. `counted` are conditions.
+    """
+    named = rows.select(F.col(on), F.coalesce(currency.cast("string"), F.lit("None")).alias("_currency"), amount.alias("_amount"),
+                        *[c.alias(n) for n, c in counted.items()])
+    whole = F.grouping("_currency") == 1
+    return named.groupingSets([[F.col(on), F.col("_currency")], [F.col(on)]], on, "_currency").agg(
+        F.when(whole, F.lit(WHOLE_BATCH)).otherwise(F.first("_currency")).alias("currency"),
+        F.when(~whole, F.round(F.sum("_amount"), 2).cast("decimal(38,2)")).alias("total"),
+        *[F.count_if(n).alias(n) for n in counted]).drop("_currency")
+
+
+def layer_totals(judged: DataFrame, silver: DataFrame, manifest: DataFrame, on: str) -> DataFrame:
+    """Rows and amounts of each batch through the layers, by currency and (currency `*`) as a whole.
+
+    judged:   batch_sums of the landed rows, with landed_rows and quarantined_rows
+    silver:   batch_sums of Silver, with silver_rows
+    manifest: (on, currency, manifest_rows, manifest_total) as announced: rows under `*`, totals under their currencies
+
+    Duplicates are what is neither quarantined nor in Silver. MISMATCH: landed rows or totals are not those announced, or
+    Silver holds more than landed.
+    """
+    sides = [judged.withColumnRenamed("total", "landed_total"), silver.withColumnRenamed("total", "silver_total"), manifest]
+    tagged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    counts, totals = ("manifest_rows", "landed_rows", "quarantined_rows", "silver_rows"), ("manifest_total", "landed_total", "silver_total")
+    joined = tagged.groupBy(on, "currency").agg(*[F.max(c).alias(c) for c in (*counts, *totals)])
+    joined = joined.select(on, "currency", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts[1:]], "manifest_rows", *totals)
+    duplicates = F.col("landed_rows") - F.col("quarantined_rows") - F.col("silver_rows")
+    announced = F.when(F.col("currency") == WHOLE_BATCH, F.coalesce("manifest_rows", F.lit(0)) == F.col("landed_rows")).otherwise(
+        F.coalesce("manifest_total", F.lit(0)) == F.coalesce("landed_total", F.lit(0)))
+    return joined.withColumn("duplicate_rows", duplicates).withColumn(
+        "status", F.when(announced & (duplicates >= 0), "OK").otherwise("MISMATCH"))
+
+
 def layer_counts(manifest: DataFrame, bronze: DataFrame, silver: DataFrame, quarantined: DataFrame,
                  duplicates: DataFrame, on: str) -> DataFrame:
     """Per batch: manifest = Bronze, and Silver = Bronze - quarantined - duplicates. Inputs are (on, rows)."""

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import reconcile as checks
@@ -53,13 +53,25 @@ def _listing(spark: SparkSession, root: str, feed: Feed) -> tuple[DataFrame, Dat
     return read, manifests.manifest_listing(read)
 
 
+def within(day: str, start: str | None, end: str | None) -> Column:
+    """Whether a date lies in an inclusive range; an end that is not given is open."""
+    inside = F.lit(True)
+    if start:
+        inside = inside & (F.col(day) >= F.lit(start).cast("date"))
+    if end:
+        inside = inside & (F.col(day) <= F.lit(end).cast("date"))
+    return inside
+
+
 def reconcile_feeds(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed], run_id: str,
-                    landing_root: str | None = None) -> DataFrame:
-    """All feeds in one plan: the union of their file counts against one reading of all manifests."""
-    stored = reduce(DataFrame.unionByName, [checks.stored_files(read_bronze(spark, lake, f), f.entity) for f in feeds])
+                    landing_root: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All feeds in one plan: the union of their file counts against one reading of all manifests. A range of business
+    dates prunes Bronze to their partitions."""
+    stored = reduce(DataFrame.unionByName, [
+        checks.stored_files(read_bronze(spark, lake, f).filter(within("_batch_date", start, end)), f.entity) for f in feeds])
     listing = manifests.manifest_listing(manifests.read_manifests(spark, landing_root or lake.landing))
     wanted = listing.filter(F.concat_ws("/", F.lit(""), "source", "entity").isin([f.under("") for f in feeds]))
-    return checks.reconcile_files(stored, wanted, run_id)
+    return checks.reconcile_files(stored, wanted.filter(within("business_date", start, end)), run_id)
 
 
 FILE_STATE = ("path string, modified bigint, bytes bigint, business_date date, file_name string, sha256 string, records bigint, "
@@ -116,9 +128,7 @@ def verify_feed(spark: SparkSession, lake: tables.Lake, feed: Feed, landing_root
     """
     root = landing_root or lake.landing
     read, listed = _listing(spark, root, feed)
-    for edge, inside in ((start, F.col("business_date") >= F.lit(start).cast("date")), (end, F.col("business_date") <= F.lit(end).cast("date"))):
-        if edge:
-            read, listed = read.filter(inside), listed.filter(inside)
+    read, listed = (df.filter(within("business_date", start, end)) for df in (read, listed))
     state = learned_files(spark, lake, feed, listed, root)
     # A file without lines has no rows to count, yet it was delivered.
     delivered = state.select("business_date", "file_name", "sha256", F.coalesce("records", F.lit(0)).alias("records"))
@@ -138,12 +148,14 @@ def stored_results(spark: SparkSession, lake: tables.Lake, run_id: str | None =
 
 
 def run(spark: SparkSession, lake: tables.Lake, feeds: Sequence[Feed] = FEEDS, run_id: str | None = None,
-        gate: bool = True, landing_root: str | None = None, **options) -> RunReport:
-    """Ingest, then judge the stored numbers: results are computed once, written, and read back."""
+        gate: bool = True, landing_root: str | None = None, start: str | None = None, end: str | None = None,
+        **options) -> RunReport:
+    """Ingest, then judge the stored numbers (of a range of business dates): results are computed once, written, and read
+    back."""
     report = ingest_feeds(spark, lake, feeds, run_id, landing_root=landing_root, **options)
     delivered = [f for f in feeds if f.entity in report.ingested]
     if delivered:
-        tables.append_run(reconcile_feeds(spark, lake, delivered, report.run_id, landing_root),
+        tables.append_run(reconcile_feeds(spark, lake, delivered, report.run_id, landing_root, start, end),
                           lake.path("ops", "bronze_reconciliation"))
         if gate:
             checks.enforce_gate(stored_results(spark, lake, report.run_id))

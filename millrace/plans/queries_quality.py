@@ -324,18 +324,22 @@ WITH t AS (SELECT event_type, value,
 SELECT kind AS transaction_type, coalesce(CASE
     WHEN (kind IN ('purchase', 'refund') OR value > 150) AND kind NOT IN ('purchase', 'refund') THEN 'merchant_id_not_applicable'
     WHEN (kind = 'bill_payment' OR value > 100) AND kind <> 'bill_payment' THEN 'biller_id_not_applicable'
-    WHEN (kind = 'transfer_out' OR value > 60) AND kind <> 'transfer_out' THEN 'counterparty_iban_not_applicable' END, 'ok') AS finding,
+    WHEN value > 90 AND kind <> 'bill_payment' THEN 'bill_reference_not_applicable'
+    WHEN value > 75 AND kind <> 'bill_payment' THEN 'due_date_not_applicable'
+    WHEN (kind = 'transfer_out' OR value > 60) AND kind <> 'transfer_out' THEN 'counterparty_iban_not_applicable'
+    WHEN value > 45 AND kind <> 'refund' THEN 'original_transaction_id_not_applicable' END, 'ok') AS finding,
   count(*) AS n FROM t GROUP BY ALL""")
 def cross_field_nulls(spark, sf_dir):
     kind = money.lookup("event_type", {"purchase": "purchase", "error": "refund", "click": "bill_payment",
                                        "view": "transfer_out", "signup": "salary_in"})
-    nothing = F.lit(None).cast("string")
+    used = lambda kind, limit, what: F.when((F.col("transaction_type") == kind) | (F.col("value") > limit), what)
     rows = table(spark, sf_dir, "events").select("value", kind.alias("transaction_type")).select(
         "transaction_type",
         F.when(F.col("transaction_type").isin("purchase", "refund") | (F.col("value") > 150), "M").alias("merchant_id"),
         F.when((F.col("transaction_type") == "bill_payment") | (F.col("value") > 100), "B").alias("biller_id"),
         F.when((F.col("transaction_type") == "transfer_out") | (F.col("value") > 60), "LT").alias("counterparty_iban"),
-        nothing.alias("bill_reference"), nothing.alias("due_date"), nothing.alias("original_transaction_id"))
+        used("bill_payment", 90, "r").alias("bill_reference"), used("bill_payment", 75, "2026-01-01").alias("due_date"),
+        used("refund", 45, "T").alias("original_transaction_id"))
     finding = F.coalesce(quality.first_reason(quality.cross_field_rules()), F.lit("ok"))
     return rows.groupBy("transaction_type", finding.alias("finding")).agg(F.count(F.lit(1)).alias("n"))
 

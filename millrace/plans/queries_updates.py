@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.operators import changes, keys, quality
-from millrace.plans.catalog import cents, day, query, table
+from millrace.operators import changes, clean, keys, quality, reconcile
+from millrace.plans.catalog import cents, day, decimal, query, table
 from millrace.plans.silver import across_dates
 from millrace.registry import BY_ENTITY, DOMAINS
 from millrace.sources.commits import Log, Version
@@ -159,3 +159,32 @@ def domain_all_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         bound = [r for r in rules if r.name.endswith("_domain")]
         found.append(quality.rule_results(orders.select(*codes), bound).withColumn("feed", F.lit(entity)))
     return reduce(DataFrame.unionByName, found).select("feed", "rule", "rows_checked", "rows_failed")
+
+
+@query("""
+WITH r AS (SELECT CAST(l_shipdate AS DATE) AS d, l_returnflag AS c, l_orderkey, l_linenumber, l_quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS a, l_quantity <= 1 AS bad FROM lineitem),
+s AS (SELECT * FROM r WHERE NOT bad QUALIFY row_number() OVER (PARTITION BY d, l_orderkey, l_linenumber ORDER BY l_quantity DESC, a DESC, c DESC) = 1),
+j AS (SELECT d, coalesce(c, '*') AS c, count(*) AS landed_rows, count_if(bad) AS quarantined_rows, CASE WHEN c IS NOT NULL THEN sum(a) END AS landed_total FROM r GROUP BY GROUPING SETS ((d, c), (d))),
+k AS (SELECT d, coalesce(c, '*') AS c, count(*) AS silver_rows, CASE WHEN c IS NOT NULL THEN sum(a) END AS silver_total FROM s GROUP BY GROUPING SETS ((d, c), (d))),
+m AS (SELECT d, '*' AS c, count(*) AS manifest_rows, NULL AS manifest_total FROM r WHERE NOT (l_quantity >= 50 AND day(d) = 7) GROUP BY d
+      UNION ALL SELECT d, c, NULL, sum(CASE WHEN l_quantity >= 50 AND day(d) = 9 THEN a + 1 ELSE a END) FROM r GROUP BY d, c)
+SELECT j.d AS batch_date, j.c AS currency, landed_rows, CAST(quarantined_rows AS BIGINT) AS quarantined_rows, coalesce(silver_rows, 0) AS silver_rows, manifest_rows,
+  CAST(manifest_total AS DECIMAL(38,2)) AS manifest_total, CAST(landed_total AS DECIMAL(38,2)) AS landed_total, CAST(silver_total AS DECIMAL(38,2)) AS silver_total,
+  CAST(landed_rows - quarantined_rows - coalesce(silver_rows, 0) AS BIGINT) AS duplicate_rows,
+  CASE WHEN j.c = '*' AND coalesce(manifest_rows, 0) = landed_rows OR j.c <> '*' AND manifest_total = landed_total THEN 'OK' ELSE 'MISMATCH' END AS status
+FROM j LEFT JOIN k ON k.d = j.d AND k.c = j.c LEFT JOIN m ON m.d = j.d AND m.c = j.c""")
+def layer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by ship date through the layers, return flags as currencies. The sender's numbers leave out large lines on the 7th
+    of a month and add to their amounts on the 9th."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        day("l_shipdate").alias("batch_date"), F.col("l_returnflag").alias("c"), "l_orderkey", "l_linenumber", "l_quantity", decimal("l_extendedprice").alias("a"))
+    judged = quality.apply_rules(lines, [quality.Rule("too_few", "business", F.col("l_quantity") <= 1)])
+    best = clean.winners(judged.where("reason IS NULL"), ["batch_date", "l_orderkey", "l_linenumber"], [F.desc("l_quantity"), F.desc("a"), F.desc("c")])
+    sums = lambda df, **counted: reconcile.batch_sums(df, "batch_date", F.col("a"), F.col("c"), **counted)
+    large = F.col("l_quantity") >= 50
+    announced = sums(lines.withColumn("a", F.when(large & (F.dayofmonth("batch_date") == 9), F.col("a") + 1).otherwise(F.col("a"))),
+                     sent=~(large & (F.dayofmonth("batch_date") == 7)))
+    manifest = announced.select("batch_date", "currency", F.when(F.col("currency") == reconcile.WHOLE_BATCH, F.col("sent")).alias("manifest_rows"),
+                                F.col("total").alias("manifest_total"))
+    return reconcile.layer_totals(sums(judged, landed_rows=F.lit(True), quarantined_rows=F.col("reason").isNotNull()),
+                                  sums(best, silver_rows=F.lit(True)), manifest, "batch_date")

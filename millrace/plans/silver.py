@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import clean, quality
+from millrace.operators import clean, quality, reconcile
 from millrace.registry import CROSS_FIELDS, DOMAINS, RENAMED_FIELDS, Feed, contract_columns
 from millrace.session import materialize
 from millrace.sources import manifests, tables
@@ -98,6 +98,7 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     touched = {str(d) for d in batch_dates(listed)} | held
     judged = tables.staged(judged_rows(spark, lake, feed, accepted, batch_dates(accepted), rules, version))
     commit.replace("quarantine", judged.filter(F.col("reason").isNotNull()), "_batch_date", touched)
+    commit.replace("landed", landed_sums(judged, feed), "_batch_date", touched)
     good = judged.filter(F.col("reason").isNull()).select(*silver_columns(feed, version))
     key = unique_key(feed)
     if "_batch_date" in key:  # a date's rows have no rivals in other dates
@@ -107,6 +108,35 @@ def build(spark: SparkSession, lake: tables.Lake, feed: Feed, rules: Sequence[qu
     return commit.finish(start=start, end=end)
 
 
+def amount_of(feed: Feed) -> tuple[Column, Column]:
+    """A feed's amount and currency; one currency for feeds without."""
+    return (F.col(feed.amount) if feed.amount else F.lit(None).cast("decimal(18,2)"), F.col(feed.currency) if feed.currency else F.lit("ALL"))
+
+
+def landed_sums(judged: DataFrame, feed: Feed) -> DataFrame:
+    amount, currency = amount_of(feed)
+    return reconcile.batch_sums(judged, "_batch_date", amount, currency, landed_rows=F.lit(True), quarantined_rows=F.col("reason").isNotNull())
+
+
+def layers(spark: SparkSession, lake: tables.Lake, feed: Feed, at: Version | None = None) -> DataFrame:
+    """Each batch from its manifest through the landed rows to Silver, by currency: see `reconcile.layer_totals`.
+
+    What landed was summed when Silver was built, from rows that were typed then; Silver is scanned for three columns.
+    Landed totals are those of amounts that are numbers, good or not, as in the manifests.
+    """
+    log = log_of(spark, lake, feed)
+    at = at or log.current()
+    amount, currency = amount_of(feed)
+    now = reconcile.batch_sums(read_silver(spark, lake, feed, at=at), "_batch_date", amount, currency, silver_rows=F.lit(True))
+    read = manifests.read_manifests(spark, lake.landing, feed).withColumnRenamed("business_date", "_batch_date")
+    rows = read.select("_batch_date", F.lit(reconcile.WHOLE_BATCH).alias("currency"), F.col("record_count").alias("manifest_rows"))
+    sums = read.select("_batch_date", F.explode("amount_totals").alias("currency", "t")).select(
+        "_batch_date", "currency", F.col("t").try_cast("decimal(38,2)").alias("manifest_total"))
+    announced = rows.unionByName(sums, allowMissingColumns=True)
+    return reconcile.layer_totals(log.read("landed", at), now, announced if feed.amount else rows.withColumn(
+        "manifest_total", F.lit(None).cast("decimal(38,2)")), "_batch_date")
+
+
 def across_dates(commit: Commit, good: DataFrame, key: list[str], touched: set[str], schema: str, order: list[Column],
                  partition: str = "_batch_date") -> None:
     """`rows` holds the winner of each key over all partitions, whatever was built when.

@@ -58,7 +58,7 @@ def test_a_failure_at_any_write_changes_nothing_and_a_rerun_mends_it(spark, tmp_
 
     lake = lake_until_redelivery("a")
     before = silver_state(spark, lake)
-    for at in range(4):                                       # quarantine, candidates, rows, the commit itself
+    for at in range(5):                                       # quarantine, landed, candidates, rows, the commit itself
         with monkeypatch.context() as m:
             Failing(m, at)
             with pytest.raises(OSError):
@@ -68,6 +68,11 @@ def test_a_failure_at_any_write_changes_nothing_and_a_rerun_mends_it(spark, tmp_
     got = silver.read_silver(spark, lake, TXN).select("transaction_id", "amount", "_batch_date").collect()
     assert sorted((r[0], str(r[1]), r[2]) for r in got) == [("T20260914P100", "10.00", D[0]), ("T20260914P7", "1.00", D[0]),
                                                            ("T20260915P101", "10.00", D[1])]
+    layers = {(r["_batch_date"], r["currency"]): r for r in silver.layers(spark, lake, TXN).collect()}
+    whole = layers[D[0], "*"]
+    assert [whole[c] for c in ("landed_rows", "quarantined_rows", "silver_rows", "duplicate_rows", "manifest_rows", "status")] == [3, 1, 2, 0, 3, "OK"]
+    assert str(layers[D[0], "EUR"]["manifest_total"]) == str(layers[D[0], "EUR"]["landed_total"]) == "11.00"
+    assert layers[D[1], "*"]["status"] == "OK" and layers[D[1], "EUR"]["status"] == "MISMATCH"    # announced without totals
     reasons = silver.read_quarantine(spark, lake, TXN).groupBy("reason").count().collect()
     assert {r[0]: r[1] for r in reasons} == {"invalid_amount": 1, "status_domain": 1}      # by the contract alone
 
