@@ -57,7 +57,9 @@ def version_lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], fact_tim
            .agg(F.max_by(F.struct(F.col(valid_to).alias("_to"), F.col(sk).alias("_sk")),
                          F.struct(F.col(sk))).alias("_v")))
     versions = one.select(*on, "_from", "_v._to", "_v._sk")
-    if fits_broadcast(versions, broadcast_rows):
+    # The dimension's own rows are counted, no fewer than its versions: a limit over a stored table stops early, one over
+    # the grouping could not, and would group everything once more.
+    if fits_broadcast(dim, broadcast_rows):
         spans = versions.withColumn("_next", F.lead("_from").over(W.partitionBy(*on).orderBy("_from")))
         condition = F.lit(True)
         for k in on:
