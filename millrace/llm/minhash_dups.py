@@ -4,14 +4,18 @@
    `rows` samples are the candidate keys. All samples are folded into a parity bitmap (an odd sketch): sample i flips
    one bit. The population count of two bitmaps' XOR tells how many samples differ, precisely so for high similarity.
 2. Texts with one and the same shingle set form a class with one representative; only those go on, so copies cost nothing.
-3. Every representative meets the smallest one of each of its bands. Pairs whose sketches are far from `least` go;
-   the others are confirmed on the full sets. What is confirmed joins representatives into components.
-4. A band whose other members lie in several components may hide links that its smallest member does not show.
-   Its members are compared with each other in blocks of bounded size, sketch against sketch inside the task. First
-   only the closest partner of each member leaves it and is confirmed, until that joins nothing more: in a group of
-   copies this finds the text they were made from. Then the blocks get the full sets as well, and all pairs between what
-   are still several components are confirmed inside the task, each in the first band that it shares; only a spanning
-   forest of the links leaves it.
+3. Every representative meets the head of each of its bands: the member that shares its bands with most others. In a
+   group of copies that is the text they were made from, for it is nearer to each than they are to one another. Pairs
+   whose sketches are far from `least` go; the others are confirmed on the full sets. What is confirmed joins
+   representatives into components.
+4. A band whose other members lie in several components may hide links that its head does not show. Its members are
+   compared with each other in blocks of bounded size, sketch against sketch inside the task. First only the closest
+   partner of each member leaves it and is confirmed, until that joins nothing more. Then the members that still have a
+   close partner in another component get their full sets, and all pairs between what are still several components are
+   confirmed inside the task, each in the first band that it shares; only a spanning forest of the links leaves it.
+
+What is known of a representative (its component, sketch and set) meets one row that lists its bands; rows by band are
+made from that row, never joined one by one.
 
 A pair at the threshold shares no band with probability (1 - 0.75^rows)^bands, about 5e-6 here; the sketch test lies
 six standard deviations below the threshold. Shingles are told apart by 64-bit hashes.
@@ -234,9 +238,22 @@ def closest_pairs(dealt: DataFrame, most: float) -> DataFrame:
     return dealt.groupBy("band", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
+def with_partners(dealt: DataFrame, most: float) -> DataFrame:
+    """(doc_id, band): members that have a close one of another component in a band, queries and others."""
+    def meet(group: pa.Table) -> pa.Table:
+        ids, out = group.column("doc_id").to_numpy(), [np.empty(0, np.int64)]
+        for left, right, _, near in nearby(group, most):
+            out += [ids[left[near.any(axis=1)]], ids[right[near.any(axis=0)]]]
+        found = np.unique(np.concatenate(out))
+        band = group.column("band")[0].as_py() if group.num_rows else 0
+        return pa.table({"doc_id": found, "band": np.full(len(found), band, np.int64)})
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(meet, "doc_id long, band long").distinct()
+
+
 def linked_pairs(dealt: DataFrame, most: float, percent: int) -> DataFrame:
     """(a, b): a spanning forest, by group, of all confirmed links between components. A pair counts in the first band
-    that both share; the smallest member of a band has met all others before."""
+    that both share; the head of a band has met all others before."""
     def meet(group: pa.Table) -> pa.Table:
         ids = group.column("doc_id").to_numpy()
         asked = {i for i, q in zip(ids.tolist(), group.column("query").to_pylist()) if q}
@@ -283,10 +300,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
     single = stored(known.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi")
                     .dropDuplicates(["doc_id", "key"]).select("doc_id", "bands", "sketch"), "representatives")
-    spread = single.select("doc_id", F.explode("bands").alias("band"))
-    tops = stored(spread.groupBy("band").agg(F.min("doc_id").alias("top"), F.count("*").alias("n")).where("n > 1"),
-                  "bands")
-    member = stored(spread.join(tops, "band").where("doc_id != top"), "members")
+    member = stored(band_members(single), "members")
+    lists = stored(member.groupBy("doc_id").agg(F.collect_list(F.struct("band", "top")).alias("at")), "lists")
     limit = far_bits(percent / 100 - 6 * (0.75 * 0.25 / (bands * rows)) ** 0.5, bands * rows, bits)
     star = member.select(F.col("top").alias("a"), F.col("doc_id").alias("b")).distinct()
     sketches = single.select("doc_id", "sketch")
@@ -297,17 +312,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = components(links)
 
     while True:
-        left = stored(_strangers(member, tops, groups), "strangers")
+        left = stored(strangers(lists, groups), "strangers")
         if left.isEmpty():
             break
-        more = stored(closest_pairs(blocks(left.join(sketches, "doc_id"), block, block_bytes), limit), "closest")
+        dealt = blocks(by_band(left, sketches), block, block_bytes)
+        more = stored(closest_pairs(dealt, limit), "closest")
         if more.isEmpty():
             break
         found = stored(confirmed(docs, more, id_col, text_col, size, percent), "confirmed")
         last = found.isEmpty()
         if last:
-            sets = sets_of(docs, stored(left.select("doc_id").distinct(), "wanted"), id_col, text_col, size)
-            full = left.join(stored(sets, "sets"), "doc_id").join(single, "doc_id")
+            near = (with_partners(dealt, limit).groupBy("doc_id").agg(F.collect_set("band").alias("bands"))
+                    .withColumnRenamed("doc_id", "id"))
+            left = stored(left.join(near, F.col("doc_id") == F.col("id")).select(
+                "doc_id", "component", F.filter("at", lambda x: F.array_contains("bands", x["band"])).alias("at")), "near")
+            sets = sets_of(docs, left.select("doc_id"), id_col, text_col, size)
+            full = by_band(left, single.join(stored(sets, "sets"), "doc_id"))
             found = stored(linked_pairs(blocks(full, block, block_bytes, "bands", "hashes"), limit, percent), "linked")
         links = links.unionAll(found)
         groups = components(links)
@@ -321,18 +341,39 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _strangers(member: DataFrame, tops: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of bands that hold several components, apart from each band's smallest: (band, doc_id, component, home),
-    where home is the component of the smallest."""
+def band_members(single: DataFrame) -> DataFrame:
+    """(band, doc_id, top): members of bands that several representatives share, apart from each band's head, `top`.
+
+    The head shares its bands with most others, counted over all of its bands; of several the smallest id.
+    """
+    spread = single.select("doc_id", F.explode("bands").alias("band"))
+    sizes = stored(spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    held = stored(spread.join(sizes, "band").groupBy("doc_id").agg(F.sum("n").alias("weight"),
+                                                                   F.collect_list("band").alias("bands")), "shared")
+    each = held.select(F.explode("bands").alias("band"), "doc_id", "weight")
+    tops = stored(each.groupBy("band").agg(F.min(F.struct(-F.col("weight"), "doc_id"))["doc_id"].alias("top")), "tops")
+    return each.join(tops, "band").where("doc_id != top").select("band", "doc_id", "top")
+
+
+def strangers(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """(doc_id, component, at): for every member of bands whose members, their heads apart, lie in several components,
+    those bands, each with `home`, the component of its head."""
     place = groups.withColumnRenamed("node", "doc_id")
-    home = tops.select("band", F.col("top").alias("doc_id")).join(place, "doc_id", "left").select(
-        "band", F.coalesce("component", "doc_id").alias("home"))
-    placed = (member.select("band", "doc_id").join(place, "doc_id", "left")
-              .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")))
-    placed = stored(placed.join(home, "band"), "placed")
-    several = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-               .where("x != y").select("band"))
-    return placed.join(several, "band", "left_semi")
+    placed = stored(lists.join(place, "doc_id", "left")
+                    .select("doc_id", F.coalesce("component", "doc_id").alias("component"), F.explode("at").alias("at"))
+                    .select("doc_id", "component", "at.band", "at.top"), "placed")
+    several = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                          F.min("top").alias("top")).where("x != y"))
+    home = stored(several.join(groups.withColumnRenamed("node", "top"), "top", "left")
+                  .select("band", F.coalesce("component", "top").alias("home")), "homes")
+    return placed.join(home, "band").groupBy("doc_id", "component").agg(F.collect_list(F.struct("band", "home")).alias("at"))
+
+
+def by_band(left: DataFrame, known: DataFrame) -> DataFrame:
+    """Strangers with what is known of each document, one row for each of its bands."""
+    return (left.join(known, "doc_id").withColumn("at", F.explode("at"))
+            .select("at.band", "at.home", *[c for c in left.columns if c != "at"],
+                    *[c for c in known.columns if c != "doc_id"]))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
