@@ -22,12 +22,10 @@ from millrace.llm.toxicity import logistic
 CHUNK, STRIDE, PAD = 256, 224, 256
 
 
-def chunks_of(raw: bytes, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Chunks (PAD where they are not filled) and their filled shares; with `most`, that many spread over the text."""
+def chunks_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Chunks that cover all of a text (PAD where they are not filled) and their filled shares."""
     n = len(raw)
     starts = np.arange(0, max(1, n - (CHUNK - STRIDE)), STRIDE)
-    if most is not None and len(starts) > most:
-        starts = starts[np.linspace(0, len(starts) - 1, most).round().astype(int)]
     padded = np.full(int(starts[-1]) + CHUNK, PAD, np.int16)
     padded[:min(n, len(padded))] = np.frombuffer(raw, np.uint8)[:len(padded)]
     filled = np.minimum(CHUNK, n - starts) / CHUNK
@@ -121,11 +119,12 @@ class Network:
         return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).tolist()
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 8_000, most_chunks: int = 4,
-        rounds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> Network:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 8_000, most_bytes: int = 1 << 25,
+        rounds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> Network:
     """A network from at most `most` labelled rows outside the held-out third, half of each class where there are so
-    many. Up to `most_chunks` chunks of each text, spread over it, train the filters; every second row is kept
-    for fitting how chunks are combined. Without labels of both classes the score is the smoothed share."""
+    many. Every second row trains the filters, as many whole texts, in the order of a hash of their ids, as `most_bytes`
+    hold, and one at least; each text weighs the same, dealt evenly to all of its chunks. The other rows fit how chunks are
+    combined. Without labels of both classes the score is the smoothed share."""
     spark = docs.sparkSession
     ship(spark)
     rows = stored(sample(docs, labels, label, most, id_col, text_col), "quality-sample")
@@ -133,23 +132,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
              .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out("doc_id")))
     share = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     network = Network()
-
-    def cut():
-        def work(ids, y, texts):
-            made = [chunks_of(t.encode(), most_chunks) for t in texts]
-            return ids, y, [m[0].astype("<i2").tobytes() for m in made], [m[1].tolist() for m in made]
-        return work
-
     kind = rows.schema["doc_id"].dataType.simpleString()
     half = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2))
-    drawn = map_arrow(rows.where(half == 0), ["doc_id", "y", "text"], cut,
-                      f"doc_id {kind}, y int, chunks binary, filled array<double>").collect()
-    drawn.sort(key=lambda r: r["doc_id"])
+    order = F.xxhash64(F.lit(7), "doc_id", "text")
+    sizes = sorted(tuple(r) for r in rows.where(half == 0).select(order, F.octet_length("text")).collect())
+    fits = np.cumsum([n for _, n in sizes]) <= most_bytes
+    taken = max(1, int(fits.sum()))
+    drawn = [] if not sizes else (rows.where((half == 0) & (order <= sizes[taken - 1][0]))
+                                  .select("doc_id", "y", F.col("text").cast("binary").alias("raw")).collect())
+    drawn.sort(key=lambda r: (r["doc_id"], r["raw"]))
     if len({r["y"] for r in drawn}) == 2:
-        n = np.array([len(r["filled"]) for r in drawn])
-        network.train(np.concatenate([np.frombuffer(r["chunks"], "<i2").reshape(-1, CHUNK) for r in drawn]),
-                      np.concatenate([r["filled"] for r in drawn]), np.repeat([r["y"] for r in drawn], n).astype(float),
-                      np.repeat(n.mean() / n, n), rounds)
+        made = [chunks_of(bytes(r["raw"])) for r in drawn]
+        n = np.array([len(m[1]) for m in made])
+        network.train(np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made]),
+                      np.repeat([r["y"] for r in drawn], n).astype(float), np.repeat(n.mean() / n, n), rounds)
 
     def measure():
         def work(ids, y, texts):
