@@ -6,7 +6,7 @@ A file is a run of blocks. A block holds whole documents, about 2^18 ids or one
     4 bytes  length of the header, then the header as JSON in UTF-8: first (ids of all documents before the block),
              n (ids in the block), docs (list of [doc_id, number of ids]), step (ids between checkpoints),
              bits (length of the bit stream)
-    4 bytes  each: bit offset of every checkpoint, at ids 0, step, 2 * step, ...
+    8 bytes  each: bit offset of every checkpoint, at ids 0, step, 2 * step, ...
     n bytes  the bit stream, first bit highest, filled up with zeros
     1 byte   line feed
 
@@ -97,7 +97,7 @@ class Book:
         for k in range(self.longest):
             on = np.flatnonzero(bits > k)
             out[starts[on] + k] = (codes[on] >> (self.longest - 1 - k)) & 1
-        return starts[::step].astype("<u4"), total, np.packbits(out).tobytes()
+        return starts[::step].astype("<u8"), total, np.packbits(out).tobytes()
 
     def decode(self, marks: np.ndarray, n: int, step: int, stream: bytes) -> np.ndarray:
         """Ids of a block; each checkpoint is a lane, and all lanes advance together."""
@@ -134,8 +134,8 @@ def unpack(book: Book, data: bytes):
         head = json.loads(data[at + 8:at + 8 + size])
         at += 8 + size
         lanes = -(-head["n"] // head["step"])
-        marks = np.frombuffer(data, "<u4", lanes, at)
-        at += 4 * lanes
+        marks = np.frombuffer(data, "<u8", lanes, at)
+        at += 8 * lanes
         length = -(-head["bits"] // 8)
         yield head, book.decode(marks, head["n"], head["step"], data[at:at + length])
         at += length + 1  # the line feed
