@@ -228,3 +228,60 @@ def test_a_shared_passage_makes_no_copies(spark):
     assert " scumbag " in weights and " oddity " not in weights
     rows = [(y, i, *toxicity.copy_keys(toxicity.fold(copy))) for i, y in enumerate((0, 1, 1, 0))]
     assert [row[:2] for row in toxicity.first_of_copies(rows)] == [(0, 0), (1, 1)]
+
+
+def test_filters_equal_a_plain_convolution():
+    net, r = quality_cnn.Network(filters=3, width=5, hidden=4), np.random.RandomState(5)
+    net.numbers = np.array([0.3, 1.0, -0.5, 0.25])
+    texts = [None, "", "short", "é" * 700, "".join(chr(r.randint(32, 127)) for _ in range(3000))]
+    p, got = net.p, net.features(texts)
+    for text, found, score in zip(texts, got, net.scores(texts)):
+        raw, logits, weights = (text or "").encode(), [], []
+        for start in range(0, max(1, len(raw) - 32), 224):
+            own = list(raw[start:start + 256])
+            filled, own = len(own) / 256, own + [256] * (256 - len(own))
+            best = [max(sum(p["t"][k][own[i + k]][f] for k in range(5)) for i in range(252)) for f in range(3)]
+            x = np.array([np.tanh(b) for b in best] + [filled])
+            logits.append(float(np.tanh(x @ p["w1"] + p["b1"]) @ p["w2"] + p["b2"][0]))
+            weights.append(max(filled, 1e-3))
+        want = [np.average(logits, weights=weights), min(logits), max(logits)]
+        assert np.allclose(found, want, atol=1e-4)
+        assert abs(score - 1 / (1 + np.exp(-(0.3 + want[0] - 0.5 * want[1] + 0.25 * want[2])))) < 1e-4
+
+
+def test_the_last_chunk_of_long_texts_teaches_too(spark):
+    """Texts that differ in their last part alone, under a bound of bytes that most of them keep within."""
+    docs = frame(spark, [(i, "plain words go on " * 200 + ("&%$#! " * 60 if i % 2 else "and so on " * 36)) for i in range(240)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(240)], "doc_id long, quality int")
+    rows = quality_cnn.score(docs, quality_cnn.fit(docs, labels, most_bytes=300_000)).where("held_out").collect()
+    assert rows and all(r["predicted"] == r["doc_id"] % 2 for r in rows)
+    none = quality_cnn.fit(frame(spark, []), labels)
+    assert quality_cnn.score(frame(spark, []), none).count() == 0
+    assert {0.0 < r["score"] < 1.0 for r in quality_cnn.score(docs, quality_cnn.fit(docs, labels, most_bytes=1)).collect()} == {True}
+
+
+def test_lexicon_equals_plain_search():
+    r = np.random.RandomState(8)
+    words = ["scum", "trash", "can", "trashcan", "idiot", "idiotic", "a", "fine", "x" * 60]
+    weights = {" trash ": 3.0, " tras": 2.0, " scum": 4.0, " idiot ": 2.5, " idio": 1.5, f" {'x' * 60} ": 5.0}
+    lexicon = toxicity.Lexicon(weights, ("trash can",), (0.0, 1.0, 1.0))
+    for _ in range(200):
+        text = " ".join(words[i] for i in r.randint(0, len(words), r.randint(1, 12)))
+        own, total = text.split(), 0.0
+        for i, word in enumerate(own):
+            spared = own[i:i + 2] == ["trash", "can"] or own[max(0, i - 1):i + 1] == ["trash", "can"]
+            if not spared:
+                total += max([w for t, w in weights.items() if f" {word} ".startswith(t)], default=0.0)
+        assert np.allclose(lexicon.features(text), (np.log1p(total), np.log1p(100 * total / len(own))))
+
+
+def test_terms_are_words_of_any_length():
+    assert f" {'y' * 300} " in toxicity.terms_of(f" {'y' * 300} a ")
+
+
+def test_toxic_precision_and_recall(spark):
+    small = "/root/testdata/sf0.01"
+    rows = (queries.QUERIES["op8_toxicity"](spark, small).where("held_out")
+            .join(spark.read.parquet(f"{small}/labels.parquet").select("doc_id", "toxic"), "doc_id").collect())
+    both = sum(r["toxic"] == r["predicted"] == 1 for r in rows)
+    assert both >= 0.8 * sum(r["toxic"] for r in rows) > 0 and both >= 0.9 * sum(r["predicted"] for r in rows)

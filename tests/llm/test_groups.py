@@ -289,3 +289,11 @@ def test_stages_take_empty_tables_nulls_and_clashing_columns(spark):
         first, clean = minhash_dups.keep_first(docs), decontaminate.keep_clean(docs, items)
         assert first.columns == clean.columns == docs.columns
         assert (first.count(), clean.count()) == (documents, len(rows))
+
+
+def test_the_head_of_a_band_shares_most(spark):
+    """Document 9 shares all its bands; every other shares one with it alone."""
+    rows = [(9, [10, 20, 30, 40]), (1, [10, 11]), (2, [20, 21]), (3, [30, 31]), (4, [40, 41]), (5, [50, 51]), (6, [50, 61])]
+    single = spark.createDataFrame(rows, "doc_id long, bands array<long>")
+    got = {(r["band"], r["doc_id"], r["top"]) for r in minhash_dups.band_members(single).collect()}
+    assert got == {(10, 1, 9), (20, 2, 9), (30, 3, 9), (40, 4, 9), (50, 6, 5)}

@@ -125,3 +125,9 @@ def test_files_hold_all_ids_in_order(spark, tmp_path, libraries, rows):
         assert (r["start"], r["n_tokens"]) == (at, len(ids))
         assert zlib.crc32(r["ids"]) == zlib.crc32(np.array(ids, "<u4").tobytes())
         at += len(ids)
+
+
+def test_bit_offsets_beyond_four_gigabits():
+    book = huffman_ids.Book({0: 16})
+    marks, bits, stream = book.encode(np.zeros(5, np.int64), 2)
+    assert marks.dtype == np.dtype("<u8") and marks.tolist() == [0, 32, 64] and bits == 80 and len(stream) == 10
