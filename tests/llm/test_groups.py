@@ -100,14 +100,15 @@ def test_odd_sketches_estimate_high_similarity():
         assert abs((x != y).sum() - minhash_dups.far_bits(similarity, 128, 1024)) <= 6 * (128 * 0.25 * 0.75) ** 0.5 * 2 * (similarity < 1)
 
 
-def test_near_vectors_against_all_pairs(spark):
+@pytest.mark.parametrize("miss", [0, 1e-4])
+def test_near_vectors_against_all_pairs(spark, miss):
     r = np.random.RandomState(3)
     centres = r.normal(size=(30, 12))
     x = [(centres[i % 30] + 0.16 * r.normal(size=12)).tolist() for i in range(300)] + [[1.0] * 12] * 20 + [[1.0] * 5, [2.0] * 5]
     odd = [None, [], [0.0] * 12, [float("nan")] * 12, [float("inf")] + [1.0] * 11, [None] + [1.0] * 11, [1e300] * 12, [1e-300] * 12]
     rows = [(i, v) for i, v in enumerate(x + odd)]
     got = {q["vec_id"]: q for q in vector_dups.near_vectors(
-        frame(spark, rows, "vec_id long, embedding array<double>"), list_rows=32, block=50, words=16).collect()}
+        frame(spark, rows, "vec_id long, embedding array<double>"), list_rows=32, block=50, words=16, miss=miss).collect()}
     assert len(got) == len(rows)
     good = {i: np.array(v) / np.abs(v).max() for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)}
     links = [(a, b) for a in good for b in good if a != b and len(good[a]) == len(good[b])
@@ -119,6 +120,47 @@ def test_near_vectors_against_all_pairs(spark):
     assert vector_dups.near_vectors(frame(spark, [(1, None), (2, [0.0])], "vec_id long, embedding array<double>")).count() == 2
 
 
+def steps(r, u, cosine):
+    """Unit vectors at given cosines from the unit vectors u, in random directions."""
+    w = r.normal(size=u.shape)
+    w = vector_dups.unit(w - (w * u).sum(1)[:, None] * u)
+    return cosine[:, None] * u + np.sqrt(1 - cosine ** 2)[:, None] * w
+
+
+def test_near_vectors_recall_at_the_threshold(spark):
+    """Thousands of links between 0.95 and 0.97 among vectors without other structure, and groups of hundreds."""
+    r = np.random.RandomState(11)
+    u = vector_dups.unit(r.normal(size=(3000, 32)))
+    x = np.concatenate([u, steps(r, u, r.uniform(0.9501, 0.97, 3000)), steps(r, u[:2].repeat(300, 0), np.full(600, 0.98))])
+    got = {q["vec_id"]: q for q in vector_dups.near_vectors(
+        frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"),
+        list_rows=64).collect()}
+    cosine = x @ x.T
+    np.fill_diagonal(cosine, 0)
+    a, b = np.nonzero(cosine >= 0.95)
+    assert len(a) > 100_000
+    assert sum(q["n_links"] for q in got.values()) >= 0.9999 * len(a)
+    weak = {i for i in range(len(x)) if got[i]["n_links"] != (a == i).sum()}
+    assert len(weak) <= 5
+    want = smallest(list(zip(a.tolist(), b.tolist())), range(len(x)))
+    assert sum(got[i]["component_id"] != want[i] for i in range(len(x))) <= 5
+
+
+def test_probes_hardly_grow_with_the_number_of_vectors():
+    r = np.random.RandomState(12)
+    x = vector_dups.unit(r.normal(size=(50_000, 64)))
+    probes = []
+    for n in (5_000, 50_000):
+        model = vector_dups.Quantiser(x[:min(n, 16_384)], n // 512, 8, 64)
+        reach, u = model.reach(x[:16_384], 0.95, 1e-5), x[-2000:]
+        assert reach < np.sqrt(0.1) * 0.6
+        probes.append(model.probes(u, model.home(u), reach).sum(1).mean())
+        v = steps(r, u, np.full(len(u), 0.95))
+        assert (model.either(u, v) <= reach + vector_dups.SLACK).mean() >= 0.999
+    assert probes[1] < 2.5 * probes[0] and probes[1] < 0.25 * 97
+    print(probes)
+
+
 def plain_hits(docs, items):
     windows = {}
     for i, t in items:
