@@ -26,6 +26,7 @@ import struct
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,7 +148,8 @@ class Encoder:
     A text is cut at blanks and line feeds, which the vocabulary drops: no token and no special token holds one, and
     normalisation does not reach across them. Parts are cut again into the words that the vocabulary's pre-tokenizer
     makes, where a text holds only ASCII and composed Latin-1 letters and opens no special token; other parts go to the
-    library as they are. Ids of parts and words are remembered, `most` of each; new ones go to the library together.
+    library as they are. Equal parts of a batch are worked out once and their ids picked by place; ids of parts and words
+    are remembered, `most` of each; new ones go to the library together.
     """
 
     def __init__(self, path: str, most: int = 500_000, longest: int = 64):
@@ -167,35 +169,55 @@ class Encoder:
         return [struct.pack(f"<{len(e)}H", *e.ids)
                 for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain, odd = [], []
-        for text in texts:
-            own = "<|" in text or ODD.search(text) is not None
-            cut = (text if own else text.lower()).replace("\n", " ").split(" ")
-            plain.append(None if own else cut)
-            odd.append(cut if own else None)
-        parts, words = self.parts, self.words
-        lack = list({p for cut in plain if cut for p in cut if p not in parts})
-        if len(parts) + len(lack) > self.most:
-            parts.clear()
-            lack = list({p for cut in plain if cut for p in cut})
+    def known(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts that the words of the pre-tokenizer make up."""
+        memo, words = self.parts, self.words
+        lack = [p for p in parts if p not in memo]
+        if len(memo) + len(lack) > self.most:
+            memo.clear()
+            lack = parts
         split = [COMMON.findall(p) for p in lack]
         new = list({w for own in split for w in own if w not in words})
         if len(words) + len(new) > self.most:
             words.clear()
             new = list({w for own in split for w in own})
         words.update(zip(new, self.by_library(new)))
-        parts.update((p, b"".join([words[w] for w in own])) for p, own in zip(lack, split))
-        strange = list({p for cut in odd if cut for p in cut})
-        strange = dict(zip(strange, self.by_library(strange)))
-        out = [b"".join(map((parts if p is not None else strange).__getitem__, p if p is not None else o))
-               for p, o in zip(plain, odd)]
-        for known in (parts, words):  # what is long is not kept
-            for key in [k for k in (lack if known is parts else new) if len(k) > self.longest]:
-                known.pop(key, None)
+        memo.update((p, b"".join([words[w] for w in own])) for p, own in zip(lack, split))
+        out = [memo[p] for p in parts]
+        for known, keys in ((memo, lack), (words, new)):  # what is long is not kept
+            for key in [k for k in keys if len(k) > self.longest]:
+                del known[key]
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        own = [i for i, t in enumerate(texts) if "<|" in t or ODD.search(t) is not None]
+        odd = set(own)
+        plain = [i for i in range(len(texts)) if i not in odd]
+        out = [b""] * len(texts)
+        for rows, make, lower in ((plain, self.known, True), (own, self.by_library, False)):
+            for i, ids in zip(rows, gathered([texts[i].lower() if lower else texts[i] for i in rows], make)):
+                out[i] = ids
         return out
 
 
+def gathered(texts: list[str], make) -> list[bytes]:
+    """Ids of texts cut at blanks and line feeds; `make` gives those of different parts, once each, and every text's
+    are picked from them by place."""
+    if not texts:
+        return []
+    cut = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+    ends = cut.offsets.to_numpy()
+    coded = pc.dictionary_encode(cut.flatten())
+    parts = make(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+    pool, which = np.frombuffer(b"".join(parts), "<u2"), coded.indices.to_numpy()
+    size, start = sizes[which], (np.cumsum(sizes) - sizes)[which]
+    before = np.concatenate([[0], np.cumsum(size)])
+    ids = pool[np.arange(before[-1]) + np.repeat(start - before[:-1], size)].tobytes()
+    bounds = (2 * before[ends - ends[0]]).tolist()
+    return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -218,7 +240,8 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int | None = None, id_col: s
             return keys, [len(m) // 2 for m in made], made
         return work
 
-    return map_arrow(docs, [id_col, text_col], make, "doc_id long, n_tokens long, ids binary")
+    return map_arrow(docs, [id_col, text_col], make, "doc_id long, n_tokens long, ids binary",
+                     limit=4 << 20)
 
 
 def counts(encoded: DataFrame) -> dict[int, int]:
