@@ -7,6 +7,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +94,32 @@ def keep_rows(df: DataFrame, text_col: str, make) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def may_hold(keys: DataFrame, *columns: str, most: int = 1 << 27):
+    """A function of key columns that says of every row whether `columns` of `keys` may hold its key: never wrongly no,
+    wrongly yes for a row in 32 or fewer, for more beyond `most` / 32 keys. A join needs to move only rows it says yes to.
+
+    Every key sets one bit of a map. The map is put together on Spark, 2^15 bits a row; the driver gets and broadcasts
+    at most `most` bits of it.
+    """
+    spark = keys.sparkSession
+    ship(spark)
+    size = min(most, max(1 << 15, 1 << (32 * keys.count()).bit_length()))
+    spot = lambda *key: F.pmod(F.xxhash64(*key), F.lit(size)) + 1
+    rows = (keys.groupBy(F.bitmap_bucket_number(spot(*columns)).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot(*columns))).alias("bits")).collect())
+    held = np.zeros((size >> 15, 1 << 12), np.uint8)
+    for row in rows:
+        held[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    sent = spark.sparkContext.broadcast(held.tobytes())
+
+    @F.pandas_udf("boolean")
+    def marked(spots: pd.Series) -> pd.Series:
+        at = spots.to_numpy() - 1
+        return pd.Series(np.frombuffer(sent.value, np.uint8)[at >> 3] >> (at & 7) & 1 == 1)
+
+    return lambda *key: marked(spot(*key))
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks and empties itself when full, so its memory is bounded.
 

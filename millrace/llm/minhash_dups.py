@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Memo, map_arrow, ship, stored
+from millrace.llm.common import Memo, map_arrow, may_hold, ship, stored
 from millrace.llm.graph import components
 from millrace.llm.vector_dups import forest
 
@@ -348,7 +348,7 @@ def band_members(single: DataFrame) -> DataFrame:
     """
     spread = single.select("doc_id", F.explode("bands").alias("band"))
     sizes = stored(spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    held = stored(spread.join(sizes, "band").groupBy("doc_id").agg(F.sum("n").alias("weight"),
+    held = stored(spread.where(may_hold(sizes, "band")("band")).join(sizes, "band").groupBy("doc_id").agg(F.sum("n").alias("weight"),
                                                                    F.collect_list("band").alias("bands")), "shared")
     each = held.select(F.explode("bands").alias("band"), "doc_id", "weight")
     tops = stored(each.groupBy("band").agg(F.min(F.struct(-F.col("weight"), "doc_id"))["doc_id"].alias("top")), "tops")
@@ -371,6 +371,7 @@ def strangers(lists: DataFrame, groups: DataFrame) -> DataFrame:
 
 def by_band(left: DataFrame, known: DataFrame) -> DataFrame:
     """Strangers with what is known of each document, one row for each of its bands."""
+    known = known.where(may_hold(left, "doc_id")("doc_id"))
     return (left.join(known, "doc_id").withColumn("at", F.explode("at"))
             .select("at.band", "at.home", *[c for c in left.columns if c != "at"],
                     *[c for c in known.columns if c != "doc_id"]))
@@ -386,8 +387,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A document is an id with its text. Rows that repeat both are one document, of which one row stays. Where different
     texts carry one id, each is judged by itself; all but the first of them, by a hash of the text, rank behind every other
-    id. Rows without an id stay, and so do texts without words. Only documents that go are joined, by id and hash, so no
-    text moves where they are few.
+    id. Rows without an id stay, and so do texts without words. Documents that go are taken out by id and hash; only
+    texts that a map of them marks move for it, which are they and a few others.
     """
     digest = F.xxhash64(text_col)
     seen = stored(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"), digest.alias("hash")).count(), "seen")
@@ -404,10 +405,18 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = stored(near_copies(own).select("doc_id", "kept"), "near-copies")
     gone = found.where("not kept").select("doc_id").distinct()
     gone = stored(nodes.join(gone, "doc_id", "left_semi").select(F.col("id").alias("_gone_id"), F.col("hash").alias("_gone_hash")), "gone")
-    left = docs.join(gone, (docs[id_col] == gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_hash"]), "left_anti")
+    left = without(docs, gone, id_col, text_col)
     again = stored(seen.where("count > 1").select(F.col("id").alias("_again_id"), F.col("hash").alias("_again_hash")), "again")
     if again.isEmpty():
         return left
     same = (left[id_col] == again["_again_id"]) & (F.xxhash64(left[text_col]) == again["_again_hash"])
     repeated = left.join(again, same, "left_semi").withColumn("_again_hash", digest).dropDuplicates([id_col, "_again_hash"])
     return left.join(again, same, "left_anti").unionAll(repeated.drop("_again_hash"))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` whose id and hash of the text are not in `gone` (_gone_id, _gone_hash)."""
+    marked = may_hold(gone, "_gone_id", "_gone_hash")(F.col(id_col), F.xxhash64(text_col))
+    some = docs.where(marked)
+    same = (some[id_col] == gone["_gone_id"]) & (F.xxhash64(some[text_col]) == gone["_gone_hash"])
+    return docs.where(~marked).unionAll(some.join(gone, same, "left_anti"))

@@ -11,7 +11,7 @@ from helpers import AWKWARD, frame, prose, words_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.llm import decontaminate, graph, minhash_dups, queries, vector_dups, warc
+from millrace.llm import common, decontaminate, graph, minhash_dups, queries, vector_dups, warc
 
 
 def smallest(links, nodes):
@@ -339,3 +339,38 @@ def test_the_head_of_a_band_shares_most(spark):
     single = spark.createDataFrame(rows, "doc_id long, bands array<long>")
     got = {(r["band"], r["doc_id"], r["top"]) for r in minhash_dups.band_members(single).collect()}
     assert got == {(10, 1, 9), (20, 2, 9), (30, 3, 9), (40, 4, 9), (50, 6, 5)}
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_a_map_of_keys_misses_none(spark, most):
+    rows = spark.range(60_000).select(F.when(F.col("id") > 0, F.col("id")).alias("x"), F.col("id").cast("string").alias("y"))
+    keys = rows.where("x is null or x % 20 = 0")
+    held = rows.where(common.may_hold(keys, "x", "y", most=most)("x", "y"))
+    assert held.join(keys, rows.y.eqNullSafe(keys.y), "left_semi").count() == keys.count() == 3000
+    assert held.count() < (3000 + 57_000 / 16 if most > 1 << 15 else 3000 + 57_000 / 8)
+    assert rows.where(common.may_hold(keys.limit(0), "x", "y")("x", "y")).isEmpty()
+
+
+def moved(plan, column):
+    """Rows that shuffles of an executed plan have written with `column` in them."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return moved(plan.executedPlan(), column)
+    if kind.endswith("QueryStageExec"):
+        return moved(plan.plan(), column)
+    n = sum(moved(plan.children().apply(i), column) for i in range(plan.children().size()))
+    if kind == "ShuffleExchangeExec" and column in [plan.output().apply(i).name() for i in range(plan.output().size())]:
+        n += plan.metrics().apply("shuffleRecordsWritten").value()
+    return n
+
+
+def test_texts_that_stay_are_not_moved(spark):
+    rows = [(i, " ".join(prose(i, 30))) for i in range(400)] + [(400 + i, " ".join(prose(i, 30))) for i in range(20)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = minhash_dups.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(400))
+        assert 20 <= moved(kept._jdf.queryExecution().executedPlan(), "text") < 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
