@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe_prefix import COMMON, ODD
-from millrace.llm.common import map_arrow, ship
+from millrace.llm.common import Memo, map_arrow, ship
+from millrace.llm.token_counts import byte_letters
 
 MAGIC = b"MRB1"
 LONGEST = 16
@@ -146,13 +147,14 @@ class Encoder:
     """Ids of texts by the file's library, as little-endian bytes, two an id.
 
     A text is cut at blanks and line feeds, which the vocabulary drops: no token and no special token holds one, and
-    normalisation does not reach across them. Parts are cut again into the words that the vocabulary's pre-tokenizer
-    makes, where a text holds only ASCII and composed Latin-1 letters and opens no special token; other parts go to the
-    library as they are. Equal parts of a batch are worked out once and their ids picked by place; ids of parts and words
-    are remembered, `most` of each; new ones go to the library together.
+    normalisation does not reach across them. Equal parts of a batch are worked out once and their ids picked by place.
+    Parts are cut again into the words that the vocabulary's pre-tokenizer makes, where a text holds only ASCII and
+    composed Latin-1 letters and opens no special token; other parts go to the library as they are. Words go to the
+    library's model at once, each byte as the letter that stands for it. Ids of words are remembered, and of parts that a
+    batch holds more than once, `most` of each.
     """
 
-    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 300_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -161,32 +163,33 @@ class Encoder:
         self.library.no_padding()
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of two bytes do not hold this vocabulary")
+        self.model = self.library.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.most, self.longest = most, longest
         self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Memo(self.word, most, longest)
 
-    def by_library(self, pieces: list[str]) -> list[bytes]:
+    def by_library(self, pieces: list[str], times=None) -> list[bytes]:
         return [struct.pack(f"<{len(e)}H", *e.ids)
                 for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def known(self, parts: list[str]) -> list[bytes]:
-        """Ids of different parts that the words of the pre-tokenizer make up."""
+    def word(self, word: str) -> bytes:
+        """Ids of one word of the pre-tokenizer."""
+        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+    def known(self, parts: list[str], times: np.ndarray) -> list[bytes]:
+        """Ids of different parts, of which each occurs `times`."""
         memo, words = self.parts, self.words
-        lack = [p for p in parts if p not in memo]
-        if len(memo) + len(lack) > self.most:
+        out = list(map(memo.get, parts))
+        lack = [i for i, ids in enumerate(out) if ids is None]
+        for i in lack:
+            out[i] = b"".join([words[w] for w in COMMON.findall(parts[i])])
+        often = [i for i, n in zip(lack, times[lack].tolist()) if n > 1 and len(parts[i]) <= self.longest]
+        if len(memo) + len(often) > self.most:
             memo.clear()
-            lack = parts
-        split = [COMMON.findall(p) for p in lack]
-        new = list({w for own in split for w in own if w not in words})
-        if len(words) + len(new) > self.most:
-            words.clear()
-            new = list({w for own in split for w in own})
-        words.update(zip(new, self.by_library(new)))
-        memo.update((p, b"".join([words[w] for w in own])) for p, own in zip(lack, split))
-        out = [memo[p] for p in parts]
-        for known, keys in ((memo, lack), (words, new)):  # what is long is not kept
-            for key in [k for k in keys if len(k) > self.longest]:
-                del known[key]
+        memo.update((parts[i], out[i]) for i in often[:self.most])
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -201,21 +204,20 @@ class Encoder:
 
 
 def gathered(texts: list[str], make) -> list[bytes]:
-    """Ids of texts cut at blanks and line feeds; `make` gives those of different parts, once each, and every text's
-    are picked from them by place."""
+    """Ids of texts cut at blanks and line feeds; `make` gives those of different parts, once each, from the parts and
+    how often each occurs, and every text's are picked from them by place."""
     if not texts:
         return []
     cut = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
     ends = cut.offsets.to_numpy()
     coded = pc.dictionary_encode(cut.flatten())
-    parts = make(coded.dictionary.to_pylist())
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
-    pool, which = np.frombuffer(b"".join(parts), "<u2"), coded.indices.to_numpy()
-    size, start = sizes[which], (np.cumsum(sizes) - sizes)[which]
-    before = np.concatenate([[0], np.cumsum(size)])
-    ids = pool[np.arange(before[-1]) + np.repeat(start - before[:-1], size)].tobytes()
-    bounds = (2 * before[ends - ends[0]]).tolist()
-    return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+    which = coded.indices
+    parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    made = make(parts, np.bincount(which.to_numpy(), minlength=len(parts)))
+    picked = pa.array(made, pa.large_binary()).take(which)
+    before = np.frombuffer(picked.buffers()[1], np.int64)[picked.offset:picked.offset + len(picked) + 1]
+    bounds, ids = before[ends - ends[0]].tolist(), picked.buffers()[2]
+    return [ids[a:b].to_pybytes() for a, b in zip(bounds, bounds[1:])] if ids else [b""] * len(texts)
 
 
 _ENCODERS: dict[str, Encoder] = {}

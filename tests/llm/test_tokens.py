@@ -131,3 +131,13 @@ def test_bit_offsets_beyond_four_gigabits():
     book = huffman_ids.Book({0: 16})
     marks, bits, stream = book.encode(np.zeros(5, np.int64), 2)
     assert marks.dtype == np.dtype("<u8") and marks.tolist() == [0, 32, 64] and bits == 80 and len(stream) == 10
+
+
+def test_words_reach_the_model_without_a_text_around_them(libraries):
+    texts = [" ".join(f"ne{a}w{b}est, {a}'s {b}!" for b in range(40)) + " the the\tend \x01 \x00a é ñandú café" for a in range(30)]
+    own, calls = huffman_ids.Encoder(WORD, most=200), []
+    own.by_library = lambda pieces, times=None, real=own.by_library: calls.extend(pieces) or real(pieces)
+    made = [np.frombuffer(x, "<u2").tolist() for k in (0, 10, 20) for x in own.encode(texts[k:k + 10])]
+    assert made == [libraries[1].encode(t, add_special_tokens=False).ids for t in texts]
+    assert not calls
+    assert len(own.parts) <= 200 and len(own.words) <= 200
