@@ -141,3 +141,13 @@ def test_words_reach_the_model_without_a_text_around_them(libraries):
     assert made == [libraries[1].encode(t, add_special_tokens=False).ids for t in texts]
     assert not calls
     assert len(own.parts) <= 200 and len(own.words) <= 200
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 15, 16, 17, 5000])
+def test_bit_streams_are_the_codes_in_a_row(n):
+    book = huffman_ids.Book(huffman_ids.code_lengths({i: 1 + 2 ** min(i, 30) for i in range(40)}))
+    ids = np.random.RandomState(n).randint(0, 40, n)
+    bits = "".join(f"{book.code[i]:016b}"[:book.bits[i]] for i in ids)
+    _, total, stream = book.encode(ids, 16)
+    assert total == len(bits)
+    assert stream == bytes(int(bits[k:k + 8].ljust(8, "0"), 2) for k in range(0, len(bits), 8))
