@@ -48,20 +48,19 @@ def surrogate_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Keys are drawn from a narrow range, so many collide. `kept`: the first key is that of the first version which came.
     """
-    years = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y")).distinct()
+    years = staged(table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y")).distinct())
     draw = lambda member, version, salt: F.shiftrightunsigned(F.xxhash64(member, version, F.lit(salt)), 42)
     steps = [years.where("y >= 2000").select("o_custkey", F.lit(None).cast("int").alias("y")).distinct(), years.where("y >= 1997"), years]
     store = spark.createDataFrame([], keys.STORE)
     for step in steps:
         store = store.unionByName(staged(keys.extend(store, keys.entries(step, "o_custkey", "y"), draw)))
-    store = staged(store)
     open_ = store.where(F.col("version") == keys.OPEN).select("member", F.col("sk").alias("open_sk"))
-    came = F.when(F.col("version") >= "1997", F.struct("version", "sk"))
+    came = F.when(F.col("version") >= "1997", F.col("version").cast("int"))
     shared = store.select("member", "sk").distinct().groupBy("sk").agg((F.count(F.lit(1)) - 1).alias("others"))
     named = store.where(F.col("version") != keys.OPEN).join(shared, "sk").groupBy("member").agg(
-        F.count(F.lit(1)).alias("n_versions"), F.count_distinct("sk").alias("n_keys"), F.sum("others").alias("n_shared"), F.min(came).alias("f"))
+        F.count(F.lit(1)).alias("n_versions"), F.count_distinct("sk").alias("n_keys"), F.sum("others").alias("n_shared"), F.min_by("sk", came).alias("first_sk"))
     return named.join(open_, "member", "left").select(
-        F.col("member").cast("bigint").alias("o_custkey"), "n_versions", "n_keys", "n_shared", (F.col("f.sk") == F.col("open_sk")).alias("kept"))
+        F.col("member").cast("bigint").alias("o_custkey"), "n_versions", "n_keys", "n_shared", (F.col("first_sk") == F.col("open_sk")).alias("kept"))
 
 
 VIP = "c_mktsegment = 'BUILDING' AND c_acctbal > 9000"

@@ -137,6 +137,29 @@ def test_colliding_hashes_get_keys_of_their_own(spark):
     assert len(set(got.values())) == 4 and -1 not in got.values()
 
 
+def test_more_entries_than_keys_in_the_range_end(spark):
+    asked = []
+
+    def draw(member, version, salt):
+        asked.append(salt)
+        assert len(asked) < 80, "draws from a range that is full"
+        return F.pmod(F.xxhash64(member, version, F.lit(salt)), F.lit(16))
+    wanted = [(str(m), str(v), v) for m in range(10) for v in (1, 2, 3)]
+    first = store_of(spark, wanted[:8], draw=draw)
+    got = store_of(spark, wanted[:8], wanted, draw=draw)
+    assert set(got) == {w[:2] for w in wanted} and len(set(got.values())) == 30 and -1 not in got.values()
+    assert set(first.values()) < set(range(16)) and first.items() < got.items()
+
+
+def test_a_crowded_range_takes_few_rounds(spark, monkeypatch):
+    written, staged = [], keys.staged
+    monkeypatch.setattr(keys, "staged", lambda df: (written.append(df.columns), staged(df))[1])
+    draw = lambda member, version, salt: F.pmod(F.xxhash64(member, version, F.lit(salt)), F.lit(4096))
+    got = store_of(spark, [(str(m), "1", 1) for m in range(3000)], draw=draw)
+    assert len(set(got.values())) == len(got) == 3000 and 0 <= min(got.values()) <= max(got.values()) < 4096
+    assert len(written) <= 9                                  # three, and one a round
+
+
 def test_only_times_that_say_something_new_count(spark):
     def dim(*versions):
         return spark.createDataFrame(versions, "k string, sk bigint, valid_from string, valid_to string, row_hash bigint").select(
